@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import as_bytes, byte_slices, shared_dir
+from lodestone.llm.common import byte_slices, shared_dir
 from lodestone.llm.tokens import encoder
 
 BLOCK_TOKENS = 1 << 16
@@ -83,9 +83,8 @@ def write_token_blocks(
         doc_ids, found, size = [], [], 0
         for batch in batches:
             kind = batch.schema.field("doc_id").type
-            for rows in byte_slices(batch, "text"):
-                texts = [x.decode("utf-8", "replace") for x in as_bytes(rows.column("text"))]
-                for doc, ids in zip(rows.column("doc_id").to_pylist(), encode(texts), strict=True):
+            for rows in byte_slices(batch, "text", 8_000_000):
+                for doc, ids in zip(rows.column("doc_id").to_pylist(), encode(rows.column("text")), strict=True):
                     if found and size + len(ids) // 4 + 1 > block_tokens:
                         yield flush(doc_ids, found)
                         doc_ids, found, size = [], [], 0

@@ -16,7 +16,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lodestone.llm.common import as_bytes, byte_slices
+from lodestone.llm.common import byte_slices
 from lodestone.llm.tokens import encoder
 
 DOCS_PER_GROUP = 4096
@@ -81,11 +81,11 @@ def pack_documents(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, seen = encoder(tokenizer_path, spaced).encode, TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows in byte_slices(batch, "text"):
+            for rows in byte_slices(batch, "text", 10_000_000):
                 out: list[list] = [[] for _ in range(7)]
                 keys = (_mix(seed, part, rows.num_rows, seen) % np.uint64(groups)).astype(np.int64).tolist()
                 seen += rows.num_rows
-                found = encode([x.decode("utf-8", "replace") for x in as_bytes(rows.column("text"))])
+                found = encode(rows.column("text"))
                 for doc, ids, key in zip(rows.column("doc_id").to_pylist(), found, keys, strict=True):
                     ids += end
                     n = len(ids) // 4

@@ -2,53 +2,88 @@
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
-from itertools import chain
 
-#: A run of white space, next to which a cut could change how the pattern splits the text.
-_RUN = re.compile(r"\s\s")
-#: A single space between two other characters: no piece of the pattern spans it, and nothing looks behind it.
-_SPACE = re.compile(r"(?<=\S) (?=\S)")
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+_WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: A space next to white space, where a cut at the space could change how the pattern splits the text.
+_RUN = f" {_WHITE}|{_WHITE} "
 
-class _Known(dict):
-    """Pieces met early stay; the rest of a batch is in `local`, which the next batch replaces."""
 
-    def __missing__(self, piece: str) -> bytes:
-        return self.local[piece]
+#: Letters with one space at most before them, which any of the patterns keeps in one part.
+_WORD = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
 
 
 class PieceEncoder:
     """Encodes texts piece by piece, where pieces are cut only at places that can't change the ids.
 
-    spaced: byte-level vocabularies, in which a word's leading space is part of the piece. Otherwise white space is dropped
-    by the tokenizer, and any space is a cut. `limit` bounds the pieces that are kept between batches.
+    spaced: byte-level vocabularies, in which a word's leading space is part of the piece. A single space between two other
+    characters is a cut: no match of the pattern spans it, and nothing looks behind it. Texts with a space next to white
+    space are encoded whole. Otherwise white space is dropped by the tokenizer, and any space is a cut.
+    `limit` bounds the pieces that are kept between batches; those met early stay.
     """
 
     def __init__(self, path: str, spaced: bool, limit: int = 400_000):
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.spaced, self.limit = Tokenizer.from_file(path), spaced, limit
-        self.tokenizer.encode_special_tokens = True
-        self.known = _Known()
-
-    def pieces(self, text: str) -> list[str]:
-        if not self.spaced:
-            return text.replace("\n", " ").split(" ")
-        parts = _SPACE.split(text) if _RUN.search(text) else text.split(" ")
-        return [parts[0], *[f" {x}" for x in parts[1:]]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self.pieces(x) for x in texts]
-        fresh = list(set(chain.from_iterable(cut)).difference(self.known))
-        ids = [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters.model._resize_cache(0)  # what recurs is in `known`
+        for x in (self.tokenizer, self.letters):
+            x.encode_special_tokens = True
+        self.spaced, self.limit = spaced, limit
+        self.known: dict[str, bytes] = {}
+
+    def plain(self, texts: list[str], which=None) -> list[bytes]:
+        found = (which or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; null is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = np.zeros(0, np.int64)
+        if self.spaced:
+            bad = pc.match_substring_regex(texts, _RUN)
+            odd = np.flatnonzero(bad.to_numpy(zero_copy_only=False))
+            whole = self.plain(texts.take(pa.array(odd)).to_pylist()) if len(odd) else []
+            cut = pc.split_pattern(pc.if_else(bad, pa.scalar("", pa.large_string()), texts) if len(odd) else texts, " ")
+        else:
+            whole, cut = [], pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        bounds = cut.offsets.to_numpy()
+        coded = cut.values[bounds[0] : bounds[-1]].dictionary_encode()
+        bounds = bounds - bounds[0]
+        codes, pieces = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
+        if self.spaced and len(texts):
+            first = coded.dictionary.take(pa.array(codes[bounds[:-1]])).to_pylist()
+            codes[bounds[:-1]] = len(pieces) + np.arange(len(first))
+            pieces = [*[f" {x}" for x in pieces], *first]
+        ids = list(map(self.known.get, pieces))
+        new = [i for i, x in enumerate(ids) if x is None]
+        new.sort(key=lambda i: _WORD.fullmatch(pieces[i]) is None)
+        words = sum(_WORD.fullmatch(pieces[i]) is not None for i in new)
+        found = self.plain([pieces[i] for i in new[:words]], self.letters) + self.plain([pieces[i] for i in new[words:]])
+        for i, x in zip(new, found, strict=True):
+            ids[i] = x
         room = max(0, self.limit - len(self.known))
-        self.known.local = dict(zip(fresh[room:], ids[room:], strict=True))
-        self.known.update(zip(fresh[:room], ids[:room], strict=True))
-        get = self.known.__getitem__
-        return [b"".join(map(get, x)) for x in cut]
+        self.known.update((pieces[i], x) for i, x in zip(new[:room], found, strict=False))
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[codes]
+        ends = np.cumsum(each)
+        total = int(ends[-1]) if len(ends) else 0
+        taken = flat[np.repeat(starts[codes] - (ends - each), each) + np.arange(total)]
+        at = np.r_[0, ends][bounds].tolist()
+        out = [taken[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+        for i, x in zip(odd.tolist(), whole, strict=True):
+            out[i] = x
+        return out
 
 
 _ENCODERS: dict[tuple, PieceEncoder] = {}

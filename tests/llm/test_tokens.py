@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import make_docs
 from hypothesis import given, settings
@@ -25,13 +26,13 @@ def test_pieces_give_the_tokenizers_ids(name, spaced, edge_texts):
     own = PieceEncoder(public_tokenizers.path(name), spaced, limit=50)
     texts = [t or "" for _, t in edge_texts]
     for _ in range(2):
-        got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)]
+        got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(pa.array(texts))]
         assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
     @settings(max_examples=300, deadline=None)
     @given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\r\x1c\x85  aZ'sé9.́"), st.characters(codec="utf-8")), max_size=40))
     def same(text):
-        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.encode(pa.array([text]))[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
     same()
 
