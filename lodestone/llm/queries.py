@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import bitpack, packing, sharding, simhash
+from lodestone.llm.common import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,12 +31,14 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sharding.shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    path = f"{shared_dir(spark)}/op4-{uuid.uuid4().hex}"
+    written = sharding.write_shards(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     text = F.coalesce("text", F.lit(""))
-    return rows.select(
+    rows = written.select(
         "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.lit("key").alias("law"), "shard", "slot", "grown_shard",
+        F.lit("key").alias("law"), "shard", "bucket", "place", "grown_shard",
     )
+    return sharding.shard_slots(rows).drop("bucket", "place")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
