@@ -148,13 +148,27 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) ->
     return out
 
 
+def _components(nodes: DataFrame, radius: int, bucket: int) -> DataFrame:
+    """fp, least and the component's smallest least, from fp and least (any type with an order)."""
+    links = near_links(nodes.select("fp"), radius, bucket)
+    parts = connected_components(links, "simhash-links")
+    joined = nodes.join(parts, nodes["fp"] == parts["node"], "left").select("fp", F.coalesce("component", "fp").alias("part"), "least")
+    least = joined.groupBy("part").agg(F.min("least").alias("first"))
+    return joined.join(least, "part").select("fp", "least", "first")
+
+
 def simhash_groups(docs: DataFrame, *, words: int = 3, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
     """One row for each document: doc_id, fingerprint (16 hexadecimal digits) and component_id."""
     found = materialize(fingerprints(docs, words), "simhash")
-    nodes = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    links = near_links(nodes.select("fp"), radius, bucket)
-    parts = connected_components(links, "simhash-links")
-    joined = nodes.join(parts, nodes["fp"] == parts["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("part"))
-    least = joined.groupBy("part").agg(F.min("least").alias("component_id"))
-    named = joined.join(least, "part").select("fp", "component_id")
+    named = _components(found.groupBy("fp").agg(F.min("doc_id").alias("least")), radius, bucket).select("fp", F.col("first").alias("component_id"))
     return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, *, words: int = 3, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """The documents with one of each component: the one with the smallest doc_id (null last), then the smallest hash of its text. All columns stay."""
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    found = materialize(fingerprints(docs.select(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), key.alias("k")).alias("doc_id"), "text"), words), "simhash")
+    kept = _components(found.groupBy("fp").agg(F.min("doc_id").alias("least")), radius, bucket).select(F.col("first.i").alias("_id"), F.col("first.k").alias("_key")).distinct()
+    keyed = docs.withColumn("_key", key)
+    chosen = keyed.join(kept, (keyed["_key"] == kept["_key"]) & keyed["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
+    return chosen.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)

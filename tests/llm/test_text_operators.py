@@ -1,0 +1,214 @@
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import make_docs
+
+from lodestone.llm import decontaminate, html_extract, pii, quality, suffix_lm
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def valid(kind, value):
+    digits = [int(c) for c in value if "0" <= c <= "9"]
+    if kind == "ip":
+        return all(int(x) <= 255 for x in value.split("."))
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and sum(d if i % 2 == 0 else 2 * d - 9 * (d > 4) for i, d in enumerate(reversed(digits))) % 10 == 0
+    return kind == "email" or 8 <= len(digits) <= 15
+
+
+def brute_spans(text):
+    return [(k, m.start(), m.end()) for k in PLAIN for m in re.finditer(PLAIN[k], text or "") if valid(k, m[0])]
+
+
+HARD = [
+    "a@b.c@d.e.f x.@y.z, q@r", "1.2.3.4.5.6.7.8 256.1.1.1 0001.02.003.000", "4111 1111 1111 1111 and 4111-1111-1111-1112, 4111  1111", "+1 (555) 123-4567. +12 +1 2 3 4 5 6 7 8 ++49 (0)30 1234567-",
+    "é日本 mail: ñ@x.yz o'a+b%c@ex-ample.co.uk.", "9" * 5000, "1 " * 30000, "a" * 100000 + "@" + "b." * 3000 + "c", "1.2.3.4" * 3000, "+" + "1" * 5000, "😀 me@example.com 😀 10.0.0.1", "4" * 16 + " 378282246310005 6011000990139424",
+]
+
+
+def test_seeds_against_plain_patterns(spark, edge_texts):
+    texts = [*edge_texts, *[(500 + i, t) for i, t in enumerate(HARD)], (501, HARD[1])]
+    rows = pii.span_digest(make_docs(spark, texts)).collect()
+    want = sorted((str(i), ",".join(f"{k}:{a}:{b}" for k, a, b in brute_spans(t)), *[sum(s[0] == k for s in brute_spans(t)) for k in PLAIN]) for i, t in texts)
+    assert sorted((str(r.doc_id), r.base, r.n_email, r.n_ip, r.n_card, r.n_phone) for r in rows) == want
+    assert pii.span_digest(make_docs(spark, [])).collect() == []
+
+
+def test_contexts_find_unseen_identifiers(spark):
+    words = "the of and lorem ipsum dolor sit amet".split()
+    rng = np.random.default_rng(2)
+    say = lambda: " ".join(rng.choice(words, 6))
+    texts = [(i, f"{say()} call hotline +1 (555) 010-{1000 + i} {say()} code {i}{i}777") for i in range(40)]
+    texts += [(100 + i, f"{say()} call hotline 0301-55{i}99 {say()}") for i in range(4)] + [(200, f"{say()} 77123456 {say()}")]
+    rows = {r.doc_id: r for r in pii.span_digest(make_docs(spark, texts)).collect()}
+    for i in range(4):
+        text = dict(texts)[100 + i]
+        at = text.index("0301")
+        assert rows[100 + i].base == "" and rows[100 + i].spans == f"phone:{at}:{at + 10}"
+    assert rows[200].spans == "" and all(rows[i].spans == rows[i].base != "" for i in range(40))
+    clean = {r.doc_id: r.text for r in pii.redact(make_docs(spark, [*texts, (300, None), (301, "x a@b.cd 4111 1111 1111 1111 y")])).collect()}
+    assert "[PHONE]" in clean[0] and "555" not in clean[0] and "[PHONE]" in clean[101] and clean[200] == texts[-1][1]
+    assert clean[300] is None and clean[301].startswith("x [EMAIL] [CARD] y")
+
+
+def split_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute_contamination(text, items):
+    words, hit, names = split_words(text), set(), set()
+    for name, item in items:
+        own = split_words(item)
+        n = min(10, len(own))
+        grams = {tuple(own[i : i + n]) for i in range(len(own) - n + 1)} if n else set()
+        for i in range(len(words) - n + 1) if n else ():
+            if tuple(words[i : i + n]) in grams:
+                hit |= set(range(i, i + n))
+                names.add(str(name))
+    return len(words), len(hit), sorted(names)
+
+
+def test_decontamination(spark, edge_texts, monkeypatch):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(30)] + ["É", "x1"]
+    passage = lambda n: " ".join(rng.choice(words, n))
+    items = [(i, passage(int(rng.integers(8, 40)))) for i in range(25)] + [(30, None), (31, "..."), (32, "Short item here!"), (33, "x1"), (34, "the the the the the the the the the the the")]
+    items += [(40 + i, items[3][1]) for i in range(5)] + [(None, "no name")]
+    texts = [*edge_texts, (900, "the " * 60), (901, "short, ITEM. here short item here")]
+    for i in range(60):
+        item = items[int(rng.integers(25))][1].split()
+        a = int(rng.integers(0, max(1, len(item) - 12)))
+        texts.append((1000 + i, f"{passage(20)} {' '.join(item[a : a + int(rng.integers(5, 30))])} {passage(10)}".upper()))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    want = sorted((str(i), *brute_contamination(t, [x for x in items if x[0] is not None])) for i, t in texts)
+    monkeypatch.setattr(decontaminate, "RUN_WORDS", 200_000)
+    rows = decontaminate.contamination(make_docs(spark, texts), bench.where("item_id is not null")).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, r["items"]) for r in rows) == want
+    assert all(r.contaminated == (r.n_hit > 0) and r.n_items == len(r["items"]) for r in rows)
+    assert len(decontaminate.contamination(make_docs(spark, texts), bench).collect()) == len(texts)
+    kept = [r.doc_id for r in decontaminate.clean_documents(make_docs(spark, texts), bench.where("item_id is not null")).collect()]
+    assert sorted(map(str, kept)) == sorted(w[0] for w in want if not w[2])
+    empty = bench.where("false")
+    assert all(r.n_hit == 0 for r in decontaminate.contamination(make_docs(spark, texts), empty).collect())
+    assert decontaminate.contamination(make_docs(spark, []), bench).collect() == []
+
+
+def test_runs_of_long_documents_overlap(monkeypatch):
+    rng = np.random.default_rng(9)
+    words = [b"w%d" % x for x in rng.integers(0, 50, 700)]
+    table = np.full(1 << (decontaminate.TABLE_BITS - 6), 2**64 - 1, np.uint64)
+    whole = decontaminate.probable_hits(words, table, [3])
+    monkeypatch.setattr(decontaminate, "RUN_WORDS", 97)
+    parts = decontaminate.probable_hits(words, table, [3])
+    key = lambda x: tuple(sorted(x.items()))
+    assert set(map(key, whole)) == set(map(key, parts)) and len(whole) == 691 + 698
+
+
+def test_language_model(spark, edge_texts):
+    texts = [*edge_texts, *[(2000 + i, "the cat sat on the mat and the dog " * (i % 5)) for i in range(60)]]
+    rows = suffix_lm.score_texts(make_docs(spark, texts), common=20).collect()
+    train = [t for i, t in texts if i is None or zlib.crc32(str(i).encode()) % 10]
+    cut = lambda t: (t or "").encode().lower().split()
+    counts = Counter(w for t in train for w in cut(t))
+    n, v = sum(counts.values()) + len(train), len(counts) + 1
+    rate = lambda c: math.log10((c + 0.1) / (n + 0.1 * (v + 1)))
+    want = sorted((str(i), i is not None and zlib.crc32(str(i).encode()) % 10 == 0, len(cut(t)) + 1, sum(counts[w] > 0 for w in cut(t)) + 1, n, round(sum(rate(counts[w]) for w in cut(t)) + rate(len(train)), 6)) for i, t in texts)
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in rows) == want
+    assert all(r.score < 0 and math.isfinite(r.score) for r in rows)
+    by_text = {}
+    for r in rows:
+        by_text.setdefault(r.doc_id, []).append(r.score)
+    assert sum(by_text[2000 + i][0] > -200 for i in range(60)) == 60
+    assert suffix_lm.score_texts(make_docs(spark, [])).collect() == []
+    alone = suffix_lm.score_texts(make_docs(spark, [(next(i for i in range(99) if zlib.crc32(str(i).encode()) % 10 == 0), "ab c")])).collect()
+    assert abs(alone[0].score + 5 * math.log10(256)) < 1e-6 and alone[0].n_known == 0
+
+
+def test_tree_is_a_distribution():
+    text = [b"the cat sat on the mat", b"the dog", b"a the cat"] * 30
+    own = suffix_lm.Slice(text, 3)
+    counts = Counter(own.grams.tolist())
+    rows = []
+    for k in range(4):
+        level = Counter()
+        for g, n in counts.items():
+            level[(g >> 8) & ((1 << 8 * k) - 1), g & 255] += n
+        for ctx in {c for c, _ in level}:
+            follow = [(s, n) for (c, s), n in level.items() if c == ctx]
+            rows.append((k, ctx, sum(n for _, n in follow), [(s, n) for s, n in follow if n >= 2]))
+    tree = suffix_lm.Tree.learn(rows, 3, 0.02, 2.0)
+    assert any(len(x[0]) for x in tree.levels)
+    for ctx in (b"the", b"zzz", b"at ", b"\n\n\n"):
+        base = int.from_bytes(ctx, "big") << 8
+        assert abs((10 ** tree.score(np.arange(base, base + 256, dtype=np.uint64))).sum() - 1) < 1e-9
+
+
+def test_quality(spark, edge_texts):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdeghilmnorst"), int(rng.integers(2, 9)))) for _ in range(3000)]
+    texts, labels = list(edge_texts), [(None, 1), (1, None), (2, 1)]
+    for i in range(600):
+        good = i % 3 > 0
+        own = rng.choice(words, 40).tolist()
+        junk = [lambda: " ".join(w + "##$$" for w in own), lambda: " ".join(x for w in own[:12] for x in [w] * 5), lambda: " ".join(own).upper() + "!!"]
+        texts.append((5000 + i, " ".join(own) + "." if good else junk[i % 9 // 3]()))
+        labels.append((5000 + i, int(good)))
+    frame = spark.createDataFrame([*labels, labels[-1]], "doc_id bigint, quality int")
+    rows = {r.doc_id: r for r in quality.score_quality(make_docs(spark, texts), frame, rows=400).collect()}
+    held = [i for i, _ in labels if i and i >= 5000 and zlib.crc32(str(i).encode()) % 5 == 0]
+    truth = dict(labels)
+    assert len(held) > 80 and np.mean([(rows[i]._score >= 0.3) == truth[i] for i in held]) > 0.95
+    assert all(rows[i]._held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= rows[i]._score <= 1 for i in rows if i is not None)
+    assert len(quality.score_quality(make_docs(spark, texts), frame.where("false")).collect()) == len(texts)
+    assert quality.score_quality(make_docs(spark, []), frame).collect() == []
+
+
+def test_pages(spark):
+    model, make, wrong, total = html_extract.trained(), html_extract.Pages(1234), 0, 0
+    for _ in range(100):
+        page, kept = make.page(), html_extract.Pages.KEPT
+        want = {" ".join("".join(n.text).split()).replace(kept, "") for n in html_extract.parse(page) if n.tag == "#run" and kept in "".join(n.text)}
+        got = set(html_extract.main_text(page.replace(kept, ""), model).split("\n\n"))
+        wrong, total = wrong + len(want ^ got), total + len(want | got)
+    assert wrong < 0.04 * total
+    good = "<article><h1>Ein  Titel &amp; mehr</h1><p>Erster Absatz mit\n einigen Wörtern, die <b>hier</b> stehen.<br><p>Zweiter Absatz, der auch etwas sagt.</article>"
+    pages = [(1, "u", f"<html><body><nav><a href=/>x</a><a href=/y>why</a></nav>{good}<footer>&copy; foot</footer>"), (2, None, None), (3, "", ""), (4, "v", "<script>var a='<p>no</p>'</script>"), (5, "w", "<div>" * 3000 + "deep" + "<p>" * 10), (None, "u", "plain words only"), (1, "u", "<p><")]
+    frame = spark.createDataFrame([(*p, "t", 3) for p in pages], "page_id bigint, url string, html string, text string, n_chars int")
+    rows = html_extract.extract_pages(frame).collect()
+    assert len(rows) == len(pages)
+    assert rows[0].text == "Ein Titel & mehr\n\nErster Absatz mit einigen Wörtern, die hier stehen.\n\nZweiter Absatz, der auch etwas sagt."
+    assert [r.text for r in rows if r.page_id in (2, 3, 4)] == ["", "", ""]
+    assert html_extract.extract_pages(frame.where("false")).collect() == []
+
+
+def test_decoding_never_keeps_below_a_dropped_node():
+    nodes = html_extract.parse("<div><p>a</p><section><p>b</p><p>c</p></section></div>")
+    rng = np.random.default_rng(0)
+    at = {id(n): i for i, n in enumerate(nodes)}
+    for _ in range(200):
+        logit = rng.normal(0, 3, len(nodes))
+        kept = html_extract.decode(nodes, logit)
+        assert all(not k or n.parent is None or kept[at[id(n.parent)]] for n, k in zip(nodes, kept, strict=True))
+        weight = np.array([2.0 if n.tag == "#run" else 1.0 for n in nodes])
+        value = lambda keep: float(np.where(keep, -np.logaddexp(0, -logit), -np.logaddexp(0, logit)) @ weight)
+        best = -math.inf
+        for code in range(2 ** len(nodes)):
+            keep = np.array([code >> i & 1 for i in range(len(nodes))], bool)
+            if all(not keep[i] or n.parent is None or keep[at[id(n.parent)]] for i, n in enumerate(nodes)):
+                best = max(best, value(keep))
+        assert value(kept) == pytest.approx(best)
+
+
+def test_digest_of_no_spans_is_that_of_an_empty_string():
+    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
