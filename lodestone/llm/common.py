@@ -43,6 +43,7 @@ def byte_slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> It
         total += sizes[i]
     if n > at:
         yield batch.slice(at, n - at)
+    pa.default_memory_pool().release_unused()  # a worker serves many tasks
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

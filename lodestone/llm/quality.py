@@ -161,20 +161,27 @@ def train(features: list[np.ndarray], weights: list[np.ndarray], labels: np.ndar
     return value.astype(np.float32), float(bias[1] - bias[0])
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row, the trained model, from all rows of one partition."""
+    seen = []
     for batch in batches:
         for rows in byte_slices(batch, "text", 1_000_000):
             own = Texts(rows.column("text"))
             code, sizes = word_features(own.names)
-            both = [own.document_features(i, code, sizes) for i in range(rows.num_rows)]
-            cols = [rows.column("label"), pa.array([f.astype(np.int32).tobytes() for f, _ in both], pa.binary()), pa.array([w.astype(np.float32).tobytes() for _, w in both], pa.binary())]
-            yield pa.RecordBatch.from_arrays([rows.column("_rank"), *cols], names=["_rank", "label", "f", "w"])
+            ranks, labels = rows.column("_rank").to_pylist(), rows.column("label").to_pylist()
+            for i in range(rows.num_rows):
+                f, w = own.document_features(i, code, sizes)
+                seen.append((ranks[i], labels[i], f.astype(np.int32), w.astype(np.float32)))
+    if seen:
+        seen.sort(key=lambda x: (x[0], x[1], x[2].tobytes()))  # the rows' order decides the order of training
+        value, bias = train([x[2] for x in seen], [x[3] for x in seen], np.array([x[1] for x in seen]))
+        yield pa.RecordBatch.from_arrays([pa.array([value.tobytes()], pa.binary()), pa.array([bias], pa.float64())], names=["value", "bias"])
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Broadcast, folds: int) -> Iterator[pa.RecordBatch]:
     value, bias = model.value
     for batch in batches:
-        for rows in byte_slices(batch, "text"):
+        for rows in byte_slices(batch, "text", 2_000_000):
             out = [x is not None and zlib.crc32(str(x).encode()) % folds == 0 for x in rows.column("doc_id").to_pylist()]
             scores = Texts(rows.column("text")).scores(value, bias)
             added = [pa.array(out, pa.bool_()), pa.array(scores, pa.float64())]
@@ -182,17 +189,15 @@ def _score(batches: Iterator[pa.RecordBatch], model: Broadcast, folds: int) -> I
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", folds: int = FOLDS, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
-    """Trains on at most `rows` labelled documents, whose features (not texts) come to the driver."""
+    """Trains on at most `rows` labelled documents in one task; only the model comes to the driver."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != 0))
     usable = usable.select("doc_id", (F.col(label) == 1).cast("int").alias("label"), F.xxhash64(F.lit(11), "doc_id").alias("_rank"))
     chosen = F.broadcast(usable.orderBy("_rank", "doc_id", "label").limit(rows))
     found = docs.select("doc_id", "text").join(chosen, "doc_id").orderBy("_rank", "text").limit(rows)
-    schema = "_rank bigint, label int, f binary, w binary"
-    # the rows' order decides the order of training
-    got = found.select("_rank", "label", "text").mapInArrow(_features, schema).toPandas().sort_values(["_rank", "label", "f"])
-    if not len(got):
+    got = found.select("_rank", "label", "text").coalesce(1).mapInArrow(_train, "value binary, bias double").collect()
+    if not got:
         return np.zeros(BUCKETS, np.float32), 0.0
-    return train([np.frombuffer(x, np.int32) for x in got["f"]], [np.frombuffer(x, np.float32) for x in got["w"]], got["label"].to_numpy())
+    return np.frombuffer(got[0].value, np.float32), got[0].bias
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, *, label: str = "quality", folds: int = FOLDS, rows: int = TRAIN_ROWS) -> DataFrame:
