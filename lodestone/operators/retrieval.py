@@ -38,8 +38,8 @@ def tfidf_search(texts: DataFrame, queries: DataFrame, k: int, key: str = "chunk
 
     Only postings of query terms meet the queries; norms need all postings of the texts.
     """
-    posted = postings(texts, key)
-    idf = inverse_frequencies(posted, texts.count())
+    posted = durable(postings(texts, key), "postings")  # used three times
+    idf = durable(inverse_frequencies(posted, texts.count()), "idf")
     asked = queries.select("qid", F.explode(tokens(F.col("text"))).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("c"))
     asked = asked.join(idf.select("term", "idf"), "term", "left").withColumn("qw", (1 + F.log("c")) * F.coalesce("idf", F.lit(0.0)))
     length = asked.groupBy("qid").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
