@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 from array import array
 
 import numpy as np
@@ -15,8 +14,11 @@ _WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\
 _RUN = f" {_WHITE}|{_WHITE} "
 
 
-#: Letters with one space at most before them, which any of the patterns keeps in one part.
-_WORD = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
+#: Letters with one space at most before them, and marks after them, which any of the patterns keeps apart from the letters.
+#: The letters are composed, and lower-casing keeps their number.
+_WORD = r"^(?P<word> ?[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}]+)(?P<marks>[.,;:!?]*)$"
+#: Words that are encoded as one text.
+_JOINED = 64
 
 
 class PieceEncoder:
@@ -25,24 +27,81 @@ class PieceEncoder:
     spaced: byte-level vocabularies, in which a word's leading space is part of the piece. A single space between two other
     characters is a cut: no match of the pattern spans it, and nothing looks behind it. Texts with a space next to white
     space are encoded whole. Otherwise white space is dropped by the tokenizer, and any space is a cut.
+    New words are joined to short texts and their ids parted at the mark that opens (spaced) or closes each word's ids; where
+    these don't part as many words as went in, the batch's words are encoded one by one.
     `limit` bounds the pieces that are kept between batches; those met early stay.
     """
 
     def __init__(self, path: str, spaced: bool, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
-        self.tokenizer, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters.model._resize_cache(0)  # what recurs is in `known`
-        for x in (self.tokenizer, self.letters):
+        self.tokenizer, self.joined = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.joined.model._resize_cache(0)  # what recurs is in `known`
+        for x in (self.tokenizer, self.joined):
             x.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[i for x, i in vocabulary.items() if (x.startswith("\u0120") if spaced else x.endswith("</w>"))]] = True
         self.spaced, self.limit = spaced, limit
         self.known: dict[str, bytes] = {}
 
-    def plain(self, texts: list[str], which=None) -> list[bytes]:
-        found = (which or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
+    def plain(self, texts: list[str]) -> pa.Array:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return pa.array([array("I", x.ids).tobytes() for x in found], pa.large_binary())
+
+    def words(self, words: list[str]) -> pa.Array:
+        """Ids of words; with `spaced`, each begins with a space."""
+        groups = [words[i : i + _JOINED] for i in range(0, len(words), _JOINED)]
+        found = self.joined.encode_batch_fast([("" if self.spaced else " ").join(x) for x in groups], add_special_tokens=False)
+        flat, sizes = array("I"), []
+        for x in found:
+            ids = x.ids
+            sizes.append(len(ids))
+            flat.extend(ids)
+        ids = np.frombuffer(flat, np.uint32)
+        edges = self.edge[ids]
+        # each group must part into its words, at its first or last id too
+        ends = np.cumsum(sizes, dtype=np.int64)
+        counts = np.diff(np.r_[0, np.cumsum(edges)][np.r_[0, ends]]) if len(sizes) else np.zeros(0, np.int64)
+        outer = edges[ends - np.array(sizes, np.int64)] if self.spaced else edges[ends - 1]
+        if not (all(sizes) and outer.all() and np.array_equal(counts, np.fromiter(map(len, groups), np.int64))):
+            return self.plain(words)
+        at = np.flatnonzero(edges)
+        bounds = np.r_[at, len(ids)] if self.spaced else np.r_[0, at + 1]
+        return pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer((4 * bounds).astype(np.int64)), pa.py_buffer(flat.tobytes())])
+
+    def units(self, units: pa.Array, is_word: np.ndarray) -> pa.Array:
+        """Ids of distinct words and other pieces, from `known` where they are there."""
+        names = units.to_numpy(zero_copy_only=False).tolist()  # faster than by scalars
+        held = list(map(self.known.get, names))
+        new = np.fromiter((x is None for x in held), bool, len(held))
+        words, others = np.flatnonzero(new & is_word), np.flatnonzero(new & ~is_word)
+        pick = names.__getitem__
+        found = pa.concat_arrays([self.words(list(map(pick, words))), self.plain(list(map(pick, others)))])
+        fresh = np.r_[words, others]
+        room = max(0, self.limit - len(self.known))
+        self.known.update(zip(map(pick, fresh[:room]), found.slice(0, room).to_pylist(), strict=False))
+        old = np.flatnonzero(~new)
+        place = np.empty(len(names), np.int64)
+        place[np.r_[old, fresh]] = np.arange(len(names))
+        return pa.concat_arrays([pa.array(map(held.__getitem__, old), pa.large_binary()), found]).take(pa.array(place))
+
+    def pieces(self, pieces: pa.Array) -> pa.Array:
+        """Ids of pieces: a word's and its marks' are joined."""
+        parts = pc.extract_regex(pieces, _WORD)
+        ok = parts.is_valid()
+        matched = ok.to_numpy(zero_copy_only=False)
+        units = pc.if_else(ok, pc.struct_field(parts, "word"), pieces).dictionary_encode()
+        marks = pc.fill_null(pc.struct_field(parts, "marks"), "").dictionary_encode()
+        codes = units.indices.to_numpy()
+        is_word = np.zeros(len(units.dictionary), bool)
+        is_word[codes] = matched
+        if self.spaced:
+            is_word &= pc.starts_with(units.dictionary, " ").to_numpy(zero_copy_only=False)
+        ids = self.units(units.dictionary, is_word).take(units.indices)
+        after = self.units(marks.dictionary, np.zeros(len(marks.dictionary), bool)).take(marks.indices)
+        return pc.binary_join_element_wise(ids, after, pa.scalar(b"", pa.large_binary()))
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null is empty."""
@@ -51,36 +110,25 @@ class PieceEncoder:
         if self.spaced:
             bad = pc.match_substring_regex(texts, _RUN)
             odd = np.flatnonzero(bad.to_numpy(zero_copy_only=False))
-            whole = self.plain(texts.take(pa.array(odd)).to_pylist()) if len(odd) else []
+            whole = self.plain(texts.take(pa.array(odd)).to_pylist()).to_pylist()
             cut = pc.split_pattern(pc.if_else(bad, pa.scalar("", pa.large_string()), texts) if len(odd) else texts, " ")
         else:
             whole, cut = [], pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         bounds = cut.offsets.to_numpy()
         coded = cut.values[bounds[0] : bounds[-1]].dictionary_encode()
         bounds = bounds - bounds[0]
-        codes, pieces = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
+        codes, pieces = coded.indices.to_numpy().copy(), coded.dictionary
         if self.spaced and len(texts):
-            first = coded.dictionary.take(pa.array(codes[bounds[:-1]])).to_pylist()
+            first = pieces.take(pa.array(codes[bounds[:-1]]))
             codes[bounds[:-1]] = len(pieces) + np.arange(len(first))
-            pieces = [*[f" {x}" for x in pieces], *first]
-        ids = list(map(self.known.get, pieces))
-        new = [i for i, x in enumerate(ids) if x is None]
-        new.sort(key=lambda i: _WORD.fullmatch(pieces[i]) is None)
-        words = sum(_WORD.fullmatch(pieces[i]) is not None for i in new)
-        found = self.plain([pieces[i] for i in new[:words]], self.letters) + self.plain([pieces[i] for i in new[words:]])
-        for i, x in zip(new, found, strict=True):
-            ids[i] = x
-        room = max(0, self.limit - len(self.known))
-        self.known.update((pieces[i], x) for i, x in zip(new[:room], found, strict=False))
-        flat = np.frombuffer(b"".join(ids), np.uint32)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(sizes) - sizes
-        each = sizes[codes]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        taken = flat[np.repeat(starts[codes] - (ends - each), each) + np.arange(total)]
-        at = np.r_[0, ends][bounds].tolist()
-        out = [taken[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+            none = pa.scalar("", pa.large_string())
+            pieces = pa.concat_arrays([pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), pieces, none), first])
+        taken = self.pieces(pieces).take(pa.array(codes))
+        if not len(taken):
+            return [b""] * len(texts)
+        ends, raw = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1], memoryview(taken.buffers()[2] or b"")
+        at = ends[bounds].tolist()
+        out = [bytes(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
         for i, x in zip(odd.tolist(), whole, strict=True):
             out[i] = x
         return out
