@@ -113,6 +113,6 @@ def frontier_order(queue: DataFrame, policy: str) -> DataFrame:
     return first.withColumn("pos", F.row_number().over(Window.orderBy(*order))).drop("_t", "_b")
 
 
-def is_atomic(level: Column, n_materials: Column, rate: Column, overlap: Column, *, max_depth: int = 6, min_materials: int = 5, min_rate: float = 0.5, max_overlap: float = 0.7) -> Column:
+def is_atomic(level: Column, n_materials: Column, rate: Column, overlap: Column, *, max_depth: int = 6, min_materials: int = 5, min_rate: float = 0.7, max_overlap: float = 0.5) -> Column:
     enough = (n_materials >= min_materials) & (rate.isNull() | (rate >= min_rate)) & (overlap.isNull() | (overlap < max_overlap))
     return (level >= max_depth) | enough

@@ -232,7 +232,7 @@ def frontier_order(s, d):
     return sampling.frontier_order(q, "balanced").select("id", F.col("pos").cast("long").alias("pos"))
 
 
-@query("SELECT s_suppkey, (s_nationkey % 8 >= 6) OR (s_suppkey % 9 >= 5 AND (s_acctbal < 0 OR s_acctbal / 10000 >= 0.5)) AS atomic FROM supplier")
+@query("SELECT s_suppkey, (s_nationkey % 8 >= 6) OR (s_suppkey % 9 >= 5 AND (s_acctbal < 0 OR s_acctbal / 10000 >= 0.7)) AS atomic FROM supplier")
 def atomicity(s, d):
     rate = F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal") / 10000)
     return table(s, d, "supplier").select("s_suppkey", sampling.is_atomic(F.col("s_nationkey") % 8, F.col("s_suppkey") % 9, rate, F.lit(None).cast("double")).alias("atomic"))
