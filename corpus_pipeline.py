@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, packing, pii, quality, simhash
+from lodestone.llm import decontaminate, minhash, packing, pii, quality
 from lodestone.llm.common import materialize
 from lodestone.llm.queries import _table, _tokenizer
 
@@ -21,8 +21,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.keep_one(docs)
+    """One document of each group of near-duplicates: a Jaccard similarity of at least 0.8 on shingles of five words."""
+    return minhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
