@@ -293,6 +293,13 @@ def url_dedup(s, d):
     return retrieval.first_of(own, F.col("url"), "page_id")
 
 
+@query()
+def url_dedup_whole(s, d):
+    """All pages; SQL can't express the normal form."""
+    own = table(s, d, "pages").select("page_id", T.normal_url("url").alias("url"))
+    return retrieval.first_of(own, F.col("url"), "page_id")
+
+
 @query()
 def url_normalize(s, d):
     return table(s, d, "pages").select("page_id", T.normal_url("url").alias("url"))

@@ -65,3 +65,20 @@ def test_draws_keep_their_caps(spark):
             used[x] = used.get(x, 0) + 1
     assert len(groups) == 40 and max(used.values()) <= 2
     assert {r.task_type for r in QUERIES["type_pick"](spark, SF).collect()} >= {"multihop_qa"}
+
+
+def test_url_dedup_whole_keeps_the_first_page_of_each_normal_form(spark):
+    from urllib.parse import parse_qsl, urlencode, urlsplit
+
+    def form(url):
+        u = urlsplit(url.strip())
+        query = urlencode([(k, v) for k, v in parse_qsl(u.query, keep_blank_values=True) if not k.lower().startswith("utm_")])
+        scheme = f"{u.scheme.lower()}://" if u.scheme else ""
+        return f"{scheme}{u.netloc.lower()}{u.path.rstrip('/')}{'?' if query else ''}{query}"
+
+    first = {}
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    for r in sorted(pages, key=lambda r: r.page_id):
+        first.setdefault(form(r.url), r.page_id)
+    assert sum("utm_" in r.url or not r.url.startswith("https://") for r in pages) > 0
+    assert sorted((r.page_id, r.url) for r in QUERIES["url_dedup_whole"](spark, SF).collect()) == sorted((i, u) for u, i in first.items())
