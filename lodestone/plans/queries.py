@@ -367,6 +367,17 @@ def min_docs_gate(s, d):
     return tasks.gate(typed, linked, tasks.task_types(s)).select("bundle_id", "task_type", "n_materials", "enough")
 
 
+@query("WITH l AS (SELECT bundle_id, count(DISTINCT material_id) AS n FROM (SELECT bundle_id, unnest(nodes) AS id FROM bundles) JOIN (SELECT material_id, unnest(linked_nodes) AS id FROM materials) USING (id) GROUP BY bundle_id) SELECT b.bundle_id, task_type, coalesce(n, 0) AS n_materials, coalesce(n, 0) >= CASE WHEN task_type = 'multihop_qa' THEN 2 ELSE 1 END AS enough FROM (SELECT bundle_id, CASE WHEN intent = 'joint' THEN 'multihop_qa' ELSE 'atomic_qa' END AS task_type FROM bundles UNION ALL SELECT concat('o', o_orderkey), CASE WHEN o_orderkey % 2 = 0 THEN 'multihop_qa' ELSE 'atomic_qa' END FROM orders) b LEFT JOIN (SELECT * FROM l UNION ALL SELECT concat('o', l_orderkey), count(*) FROM lineitem GROUP BY l_orderkey) USING (bundle_id)")
+def min_docs_gate_whole(s, d):
+    """All materials; orders with their lines are bundles too, of which some have fewer than their type needs."""
+    bundles, orders = derived(s, d, "bundles"), table(s, d, "orders")
+    linked = retrieval.link_materials(bundles, derived(s, d, "materials"))
+    linked = linked.unionByName(table(s, d, "lineitem").select(F.concat(F.lit("o"), "l_orderkey").alias("bundle_id"), F.lit("line").alias("material_id")))
+    typed = bundles.select("bundle_id", F.when(F.col("intent") == "joint", "multihop_qa").otherwise("atomic_qa").alias("task_type"))
+    own = orders.select(F.concat(F.lit("o"), "o_orderkey").alias("bundle_id"), F.when(F.col("o_orderkey") % 2 == 0, "multihop_qa").otherwise("atomic_qa").alias("task_type"))
+    return tasks.gate(typed.unionByName(own), linked, tasks.task_types(s)).select("bundle_id", "task_type", "n_materials", "enough")
+
+
 @query("SELECT bundle_id, CASE WHEN intent = 'joint' THEN concat('请介绍：', array_to_string(nodes, '、'), '。') ELSE concat('Explain: ', array_to_string(nodes, ', '), '.') END AS question FROM bundles")
 def reject_sample(s, d):
     return derived(s, d, "bundles").select("bundle_id", tasks.reject_task(F.col("nodes"), F.when(F.col("intent") == "joint", "zh").otherwise("en")).alias("question"))

@@ -82,3 +82,12 @@ def test_url_dedup_whole_keeps_the_first_page_of_each_normal_form(spark):
         first.setdefault(form(r.url), r.page_id)
     assert sum("utm_" in r.url or not r.url.startswith("https://") for r in pages) > 0
     assert sorted((r.page_id, r.url) for r in QUERIES["url_dedup_whole"](spark, SF).collect()) == sorted((i, u) for u, i in first.items())
+
+
+def test_min_docs_gate_whole_counts_all_materials(spark):
+    rows = {r.bundle_id: r for r in QUERIES["min_docs_gate_whole"](spark, SF).collect()}
+    ids = [r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()]
+    for n in range(25):
+        nodes = {n, (n + 7) % 25}
+        assert rows[f"b{n}"].n_materials == sum(bool({i % 25, i * 3 % 25} & nodes) for i in ids)
+    assert {(r.task_type, r.enough) for r in rows.values()} >= {("multihop_qa", True), ("multihop_qa", False), ("atomic_qa", True)}
