@@ -329,6 +329,14 @@ def rerank_overlap(s, d):
     return retrieval.rerank(own, F.col("asked")).select("material_id", F.round("score", 6).alias("score"))
 
 
+@query("SELECT m.material_id, round(len(list_intersect(list_distinct(regexp_extract_all(lower(concat_ws(' ', m.title, m.snippet, m.text)), '[a-z0-9]+')), q)) / len(q), 6) AS score FROM materials m, (SELECT list_distinct(regexp_extract_all(lower(string_agg(text, ' ' ORDER BY item_id)), '[a-z0-9]+')) AS q FROM benchmark)")
+def rerank_overlap_whole(s, d):
+    """The whole benchmark as the description."""
+    asked = table(s, d, "benchmark").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "text"))), lambda x: x["text"]), " ").alias("asked"))
+    own = derived(s, d, "materials").crossJoin(F.broadcast(asked))  # one row
+    return retrieval.rerank(own, F.col("asked")).select("material_id", F.round("score", 6).alias("score"))
+
+
 @query("WITH h AS (SELECT k, id, b, count(*) AS n FROM (SELECT k, id, CAST(concat('0x', substr(md5(t), 1, 8)) AS BIGINT) % 256 AS b FROM (SELECT 'c' AS k, concat('i', item_id) AS id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS t FROM benchmark UNION ALL SELECT 'k', id, unnest(regexp_extract_all(lower(label), '[a-z0-9]+')) FROM kg_nodes)) GROUP BY ALL), w AS (SELECT k, id, b, n / sqrt(sum(n * n) OVER (PARTITION BY k, id)) AS w FROM h), m AS (SELECT c.id AS cand, k.id, round(sum(c.w * k.w), 6) AS sim FROM w c JOIN w k ON c.b = k.b AND c.k = 'c' AND k.k = 'k' GROUP BY c.id, k.id) SELECT cand, id, sim, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY cand ORDER BY sim DESC, id) AS rank FROM m) WHERE rank <= 8")
 def align_recall_topk(s, d):
     return retrieval.recall(table(s, d, "benchmark").select(F.concat(F.lit("i"), "item_id").alias("cand"), "text"), derived(s, d, "kg_nodes").select("id", F.col("label").alias("text")))

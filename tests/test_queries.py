@@ -91,3 +91,11 @@ def test_min_docs_gate_whole_counts_all_materials(spark):
         nodes = {n, (n + 7) % 25}
         assert rows[f"b{n}"].n_materials == sum(bool({i % 25, i * 3 % 25} & nodes) for i in ids)
     assert {(r.task_type, r.enough) for r in rows.values()} >= {("multihop_qa", True), ("multihop_qa", False), ("atomic_qa", True)}
+
+
+def test_rerank_overlap_whole_asks_for_the_whole_benchmark(spark):
+    asked = {t for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() for t in token_list(r.text)}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    want = {f"m{r.doc_id}": len(asked & set(token_list(" ".join([r.text[:40], r.text[:200], r.text])))) / len(asked) for r in docs if r.text is not None}
+    rows = {r.material_id: r.score for r in QUERIES["rerank_overlap_whole"](spark, SF).collect()}
+    assert all(abs(rows[k] - v) < 1e-6 for k, v in want.items())
