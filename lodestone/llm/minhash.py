@@ -1,15 +1,15 @@
-"""Near-duplicate texts: a Jaccard similarity of at least 0.8 on distinct word shingles, found by MinHash bands and then computed.
+"""Near-duplicate texts by a Jaccard similarity of at least 0.8 on distinct five-word shingles: what SimHash's radius can't reach.
+
+A pair of texts of similarity 0.8 differs in some ten of 64 bits of its SimHash fingerprints (measured in the README), too many for a
+covering family of masks. `simhash.keep_one` therefore takes its first candidates from covering masks and the others from here.
 
 A text is lower-cased (A-Z) and cut at white space; its shingles are runs of five words (all words if it has fewer), known by their
 XXH64 hashes. Each of BANDS keys hashes ROWS minima, so a pair of similarity 0.8 shares no key with a chance of (1 - 0.8^3)^20 =
-6e-7, and less above. Pairs that share a key and agree in half of all minima (a pair of 0.8 has fewer with a chance of 3e-7) are
-compared by their whole sets of shingles; nothing else makes a link. No bucket is cut or left out.
-
-Texts of equal words are one node. In a first round each bucket's members are compared with the one that agrees most with the
-bucket's commonest minima; in a second round all its pairs that the links so far leave in different components are. So a large
-group of near copies takes about one comparison a member and bucket; members that stay apart are compared by their minima in pairs.
-
-Null text has no words, and all texts without words are one node. Null doc_ids are never the smallest of a component that has others.
+6e-7, and less above. Pairs that share a key, agree in half of all minima (a pair of 0.8 has fewer with a chance of 3e-7) and have sizes
+that allow a similarity of 0.8 are candidates. A bucket gives only a forest that connects its candidates, so rows grow with its members;
+what the forests connect is a cluster. The whole sets of a cluster's texts meet in chunks of bounded bytes, each pair of chunks in one
+task, where exact intersections decide; a task returns a forest of the links, never all pairs. Clusters whose members are linked
+already are left out. Work within a cluster grows with the square of its distinct texts; nothing is cut or left out.
 """
 
 from __future__ import annotations
@@ -25,13 +25,15 @@ from lodestone.llm.common import as_bytes, byte_slices, connected_components, ma
 
 WORDS, BANDS, ROWS = 5, 20, 3
 AGREE = BANDS * ROWS // 2
+#: Texts and shingles in a chunk of a cluster, about.
+CHUNK, CHUNK_SHINGLES = 1024, 1_000_000
 _SALT, _ODD = np.random.default_rng(20).integers(0, 2**64, (2, BANDS * ROWS), np.uint64)
 _ODD |= np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
-    """The hashes of the distinct shingles, ascending."""
+def all_shingles(text: bytes, words: int = WORDS) -> np.ndarray:
+    """The hashes of the shingles, in order, repeats included."""
     from xxhash import xxh64_intdigest
 
     own = text.lower().split()
@@ -42,7 +44,21 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     starts = np.r_[0, ends[:-1] + 1]
     n = max(1, len(own) - words + 1)
     starts, ends = starts[:n], ends[-n:]
-    return np.unique(np.array([xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.uint64))
+    return np.array([xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.uint64)
+
+
+def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
+    """The hashes of the distinct shingles, ascending."""
+    return np.unique(all_shingles(text, words))
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes: the bits that are set in over half of them, as a signed number."""
+    count = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        raw = hashes[at : at + (1 << 14)].astype(">u8").view(np.uint8)
+        count += np.unpackbits(raw).reshape(-1, 64).sum(0, dtype=np.int32)
+    return int(np.packbits(2 * count > len(hashes)).view(">i8")[0]) if len(hashes) else 0
 
 
 def minima(hashes: np.ndarray) -> np.ndarray:
@@ -60,33 +76,37 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sketches(docs: DataFrame, words: int) -> DataFrame:
-    """id, node (a hash of the words), size (of the set), keys, and a byte of each minimum."""
+def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """id, word_key (128 bits of a hash of the words), size (of the set), keys, a byte of each minimum, and fp."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
+        from xxhash import xxh3_128_digest
 
         for batch in batches:
             for rows in byte_slices(batch, "text"):
-                node, size, keys, sig = [], [], [], []
+                word_key, size, keys, sig, fp = [], [], [], [], []
                 for x in as_bytes(rows.column("text")):
-                    own = shingles(x, words)
+                    every = all_shingles(x, words)
+                    own = np.unique(every)
                     least = minima(own)
-                    node.append(xxh64_intdigest(b" ".join(x.lower().split()), 7))
+                    word_key.append(xxh3_128_digest(b" ".join(x.lower().split()), 7))
                     size.append(len(own))
                     keys.append(band_keys(least))
                     sig.append((least >> np.uint64(24)).astype(np.uint8).tobytes())
+                    fp.append(majority_bits(every))
                 flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS), flat)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("id"), pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(size, pa.int32()), lists, pa.array(sig, pa.binary())],
-                    names=["id", "node", "size", "keys", "sig"],
+                    [rows.column("id"), pa.array(word_key, pa.binary()), pa.array(size, pa.int32()), lists, pa.array(sig, pa.binary()), pa.array(fp, pa.int64())],
+                    names=["id", "word_key", "size", "keys", "sig", "fp"],
                 )
 
-    return docs.select("id", "text").mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, node bigint, size int, keys array<bigint>, sig binary")
+    return docs.select("id", "text").mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, word_key binary, size int, keys array<bigint>, sig binary, fp bigint")
+
 
+def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """(node, s) from (node, text)."""
 
-def _sets(texts: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in byte_slices(batch, "text"):
@@ -96,63 +116,131 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node bigint, s array<bigint>")
 
 
-def star_pairs(node: np.ndarray, part: np.ndarray, size: np.ndarray, sig: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The member nearest to the commonest minima, with each other one."""
-    votes = np.zeros(len(node), np.int64)
-    for c in range(sig.shape[1]):
-        votes += sig[:, c] == np.bincount(sig[:, c]).argmax()
-    hub = int(votes.argmax())
-    near = np.flatnonzero(((sig == sig[hub]).sum(1) >= AGREE) & (np.arange(len(node)) != hub))
-    yield np.full(len(near), node[hub]), node[near]
-
-
-def cross_pairs(node: np.ndarray, part: np.ndarray, size: np.ndarray, sig: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs in different parts whose sizes and minima allow a similarity of 0.8."""
-    if (part == part[0]).all():
-        return
-    for r in range(0, len(node), 256):
-        for c in range(r, len(node), 2048):
-            left, right = slice(r, r + 256), slice(c, c + 2048)
-            small, large = np.minimum(size[left, None], size[right]), np.maximum(size[left, None], size[right])
-            i, j = np.nonzero((part[left, None] != part[right]) & (10 * small >= 8 * large))
-            i, j = i + r, j + c
-            i, j = i[i < j], j[i < j]
-            for at in range(0, len(i), 1 << 18):
-                x, y = i[at : at + (1 << 18)], j[at : at + (1 << 18)]
-                near = (sig[x] == sig[y]).sum(1) >= AGREE
-                yield node[x[near]], node[y[near]]
-
-
-def _pairs(buckets: DataFrame, choose: Callable) -> DataFrame:
-    """Distinct pairs (a < b) that `choose` finds in each bucket; rows are key, node, part, size, sig."""
+def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The runs of rows with equal keys, from batches that are sorted by them; a run may go over batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys])
+        cuts = np.flatnonzero((own[1:] != own[:-1]).any(1)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+            if last is not None and (own[a] != last).any():
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = own[a]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def sketch_forest(size: np.ndarray, sig: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Places (i, js) of candidate pairs that connect what all candidate pairs connect."""
+    left = np.arange(len(size))
+    while len(left):
+        front, left = [int(left[0])], left[1:]
+        while front and len(left):
+            x = front.pop()
+            fits = 10 * np.minimum(size[left], size[x]) >= 8 * np.maximum(size[left], size[x])
+            near = fits & ((sig[left] == sig[x]).sum(1) >= AGREE)
+            if near.any():
+                yield x, left[near]
+                front += left[near].tolist()
+                left = left[~near]
+
+
+def candidate_forest(buckets: DataFrame) -> DataFrame:
+    """(a, b) of a forest over the candidates of each bucket, from rows key, node, size, sig."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] | None = None
+        for own in groups_of(batches, ["key"]):
+            if len(own) < 2:
+                continue
+            node, size = own.column("node").to_numpy(), own.column("size").to_numpy().astype(np.int64)
+            sig = np.frombuffer(b"".join(own.column("sig").to_pylist()), np.uint8).reshape(len(own), -1)
+            for i, js in sketch_forest(size, sig):
+                other = node[js]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, node[i])), pa.array(np.maximum(other, node[i]))], names=["a", "b"])
 
-        def search(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            cut = np.flatnonzero(np.diff(cols[0])) + 1
-            for s, e in zip(np.r_[0, cut].tolist(), np.r_[cut, len(cols[0])].tolist(), strict=True):
-                for a, b in choose(*[c[s:e] for c in cols[1:]]) if e - s > 1 else ():
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+    dealt = buckets.select("key", "node", "size", "sig").repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
-        for batch in batches:
-            if not batch.num_rows:
+
+def shared_counts(sets: list[np.ndarray], n_left: int) -> np.ndarray:
+    """How many elements the first n_left sets share with the others (with all, if n_left is their number), by products of 0-1 matrices."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    flat = np.concatenate(sets)
+    names, code, many = np.unique(flat, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    common = many > 1  # an element of one set is shared by none
+    rank = np.cumsum(common) - 1
+    keep = common[code]
+    row, code = row[keep], rank[code[keep]]
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    right = slice(0, None) if n_left == len(sets) else slice(n_left, None)
+    out = np.zeros((n_left, len(sets) - (right.start or 0)), np.float32)
+    width = 4096
+    for at in range(0, int(common.sum()), width):
+        lo, hi = np.searchsorted(code, [at, at + width])
+        some = np.zeros((len(sets), width), np.float32)
+        some[row[lo:hi], code[lo:hi] - at] = 1
+        out += some[:n_left] @ some[right].T
+    return out
+
+
+def exact_forest(part: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links (i, j) those that join parts which weren't joined yet."""
+    up = {int(p): int(p) for p in set(part.tolist())}
+
+    def root(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    out = []
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        x, y = root(int(part[a])), root(int(part[b]))
+        if x != y:
+            up[x] = y
+            out.append((a, b))
+    return out
+
+
+def cluster_links(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of links of at least 0.8 between parts, from (cluster, node, part, size); a forest for each pair of chunks."""
+    sizes = placed.groupBy("cluster").agg(
+        (F.min("part") < F.max("part")).alias("open"), F.greatest(F.lit(1), F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("size") / CHUNK_SHINGLES)).cast("bigint").alias("chunks"),
+    )
+    rows = placed.join(sizes.where("open"), "cluster").withColumn("c", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    rows = rows.join(sets, "node").select("cluster", "node", "part", "s", "c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("d"))
+    rows = rows.select("cluster", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), (F.col("c") > F.col("d")).cast("int").alias("side"), "node", "part", "s")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own in groups_of(batches, ["cluster", "a", "b"]):
+            node, part, side = (own.column(c).to_numpy() for c in ("node", "part", "side"))
+            if len(own) < 2 or (part == part[0]).all():
                 continue
-            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:4]]
-            cols.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(batch.num_rows, -1))
-            if kept is not None:
-                cols = [np.concatenate([k, c]) for k, c in zip(kept, cols, strict=True)]
-            edge = np.flatnonzero(cols[0] != cols[0][-1])
-            at = int(edge[-1]) + 1 if len(edge) else 0  # the last bucket may go on in the next batch
-            if at:
-                yield from search([c[:at] for c in cols])
-            kept = [c[at:] for c in cols]
-        if kept is not None:
-            yield from search(kept)
-
-    dealt = buckets.select("key", "node", "part", "size", "sig").repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+            inside = own.column("a")[0].as_py() == own.column("b")[0].as_py()
+            n_left = len(own) if inside else int((side == 0).sum())
+            if not n_left or (not inside and n_left == len(own)):
+                continue
+            found = [np.asarray(x) for c in own.column("s").chunks for x in np.split(c.values.to_numpy()[c.offsets[0].as_py() : c.offsets[-1].as_py()], c.offsets.to_numpy()[1:-1] - c.offsets[0].as_py())]
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            shared = shared_counts(found, n_left)
+            start = 0 if inside else n_left
+            near = 9 * shared >= 4 * (size[:n_left, None] + size[start:])
+            near &= part[:n_left, None] != part[start:]
+            i, j = np.nonzero(near)
+            kept = exact_forest(part, i, j + start)
+            if kept:
+                a, b = np.array(kept).T
+                yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
+
+    dealt = rows.repartition("cluster", "a", "b").sortWithinPartitions("cluster", "a", "b", "side")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -163,31 +251,24 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").where(9 * shared >= 4 * (F.size("sa") + F.size("sb"))).select("a", "b")
 
 
-def keep_one(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
-    """The documents with one of each component: the one with the smallest doc_id (null last), then the smallest hash of its text. All columns stay."""
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    ids = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), key.alias("k"))
-    found = materialize(_sketches(docs.select(ids.alias("id"), "text"), words), "minhash")
-    nodes = found.groupBy("node").agg(F.min("id").alias("least"), *[F.first(c).alias(c) for c in ("size", "keys", "sig")])
-    nodes = materialize(nodes, "minhash-nodes")
+def near_components(nodes: DataFrame, first: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, component) of texts linked by a similarity of at least 0.8; nodes(node, size, keys, sig) are distinct texts.
+
+    `first` are candidate pairs (a, b) from another search, which is asked before the clusters; sets_of gives (node, s) for nodes.
+    """
     bands = nodes.select("node", F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = materialize(bands.join(shared, "key"), "minhash-buckets")
-    some = nodes.join(buckets.select("node").distinct(), "node", "left_semi")
-    keyed = docs.select("doc_id", "text", key.alias("_key"))
-    texts = keyed.join(some.select("node", "least"), (keyed["_key"] == F.col("least.k")) & keyed["doc_id"].eqNullSafe(F.col("least.i")))
-    sets = materialize(_sets(texts.dropDuplicates(["node"]), words), "minhash-sets")
-    members = buckets.join(some.select("node", "size", "sig"), "node")
-
-    tried = materialize(_pairs(members.withColumn("part", F.col("node")), star_pairs), "minhash-star")
-    links = materialize(similar(tried, sets), "minhash-links")
+    first = materialize(first, "minhash-first")
+    asked = buckets.select("node").unionByName(first.select(F.col("a").alias("node"))).unionByName(first.select(F.col("b").alias("node"))).distinct()
+    some = materialize(nodes.join(asked, "node", "left_semi").drop("keys"), "minhash-nodes")
+    forest = materialize(candidate_forest(buckets.join(some.select("node", "size", "sig"), "node")), "minhash-forest")
+    clusters = connected_components(forest, "minhash-clusters")
+    wanted = clusters.select("node").unionByName(first.select(F.col("a").alias("node"))).unionByName(first.select(F.col("b").alias("node"))).distinct()
+    sets = materialize(sets_of(some.join(wanted, "node", "left_semi")), "minhash-sets")
+    links = materialize(similar(first, sets), "minhash-links")
     parts = connected_components(links, "minhash-parts")
-    placed = members.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    more = materialize(_pairs(placed, cross_pairs).join(tried, ["a", "b"], "left_anti"), "minhash-cross")
-    parts = connected_components(links.unionByName(similar(more, sets)), "minhash-parts")
-
-    joined = nodes.select("node", "least").join(parts, "node", "left").select(F.coalesce("component", "node").alias("part"), "least")
-    kept = joined.groupBy("part").agg(F.min("least").alias("first")).select(F.col("first.i").alias("_id"), F.col("first.k").alias("_key"))
-    keyed = docs.withColumn("_key", key)
-    chosen = keyed.join(kept, (keyed["_key"] == kept["_key"]) & keyed["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-    return chosen.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    placed = clusters.select("node", F.col("component").alias("cluster")).join(parts, "node", "left").join(some.select("node", "size"), "node")
+    placed = materialize(placed.select("cluster", "node", F.coalesce("component", "node").alias("part"), "size"), "minhash-placed")
+    more = materialize(cluster_links(placed, sets), "minhash-more")
+    return connected_components(links.unionByName(more), "minhash-parts")

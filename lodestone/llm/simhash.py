@@ -23,6 +23,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.llm import minhash
 from lodestone.llm.common import as_bytes, byte_slices, connected_components, materialize
 
 RADIUS = 3
@@ -164,11 +165,34 @@ def simhash_groups(docs: DataFrame, *, words: int = 3, radius: int = RADIUS, buc
     return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, *, words: int = 3, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """The documents with one of each component: the one with the smallest doc_id (null last), then the smallest hash of its text. All columns stay."""
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    found = materialize(fingerprints(docs.select(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), key.alias("k")).alias("doc_id"), "text"), words), "simhash")
-    kept = _components(found.groupBy("fp").agg(F.min("doc_id").alias("least")), radius, bucket).select(F.col("first.i").alias("_id"), F.col("first.k").alias("_key")).distinct()
-    keyed = docs.withColumn("_key", key)
-    chosen = keyed.join(kept, (keyed["_key"] == kept["_key"]) & keyed["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-    return chosen.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+def keep_one(docs: DataFrame, *, words: int = minhash.WORDS, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """The documents with one of each group of near-duplicates: the one with the smallest doc_id (null last), then the smallest SHA-256 of its text.
+
+    Near-duplicates have a Jaccard similarity of at least 0.8 on distinct shingles of `words` words. Candidates come from the covering
+    masks on fingerprints of those shingles first, then from `minhash`, as a pair of 0.8 is mostly further apart than any radius that
+    masks can cover; whole sets of shingles decide about both. Texts of equal words are one node. Null text has no words, and all texts
+    without words are one node. Repeated rows come back once. All columns stay, whatever they are called. An empty table gives an empty table.
+    """
+    key = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    ids = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), key.alias("k"))
+    found = materialize(minhash.sketches(docs.select(ids.alias("id"), "text"), words), "near")
+    nodes = found.groupBy("word_key").agg(F.min("id").alias("least"), *[F.first(c).alias(c) for c in ("size", "keys", "sig", "fp")])
+    nodes = materialize(nodes.drop("word_key").withColumn("node", F.monotonically_increasing_id()), "near-nodes")
+    heads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("head")), "near-prints")
+    links = near_links(heads.select("fp"), radius, bucket).distinct()
+    named = links.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b")
+    same = nodes.select("node", "fp").join(heads, "fp").where("node <> head")
+    first = named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).unionByName(same.select(F.col("head").alias("a"), F.col("node").alias("b")))
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        keyed = docs.select(F.col("doc_id").alias("i"), key.alias("k"), "text")
+        own = some.select("node", F.col("least.i").alias("li"), F.col("least.k").alias("lk"))
+        texts = keyed.join(own, (keyed["k"] == own["lk"]) & keyed["i"].eqNullSafe(own["li"]))
+        return minhash.shingle_sets(texts.select("node", "text"), words).dropDuplicates(["node"])
+
+    parts = minhash.near_components(nodes.select("node", "size", "keys", "sig", "least"), first.distinct(), sets_of)
+    joined = nodes.select("node", "least").join(parts, "node", "left").select(F.coalesce("component", "node").alias("part"), "least")
+    kept = joined.groupBy("part").agg(F.min("least").alias("first")).select(F.col("first.i").alias("i"), F.col("first.k").alias("k"))
+    keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), F.col("doc_id").alias("id"), key.alias("key"))
+    chosen = keyed.join(kept, (keyed["key"] == kept["k"]) & keyed["id"].eqNullSafe(kept["i"]), "left_semi")
+    return chosen.dropDuplicates(["id", "key"]).select("doc.*")

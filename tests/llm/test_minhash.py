@@ -4,7 +4,7 @@ import numpy as np
 from conftest import make_docs
 
 import corpus_pipeline
-from lodestone.llm import minhash
+from lodestone.llm import minhash, simhash
 
 
 def brute_first(texts):
@@ -68,8 +68,27 @@ def test_large_group_and_shared_passages(spark, edge_texts):
         texts.append((1000 + k, " ".join(own)))
     texts += [(2000, " ".join(base)), (3000, None), (3001, ""), (3002, " \n"), (3003, "one two"), (3004, "ONE  two")]
     texts += [(4000 + k, " ".join([*passage, *rng.choice(words, 30).tolist()])) for k in range(120)]
-    kept = minhash.keep_one(make_docs(spark, texts))
+    kept = simhash.keep_one(make_docs(spark, texts))
     assert sorted(r.doc_id for r in kept.collect()) == brute_first(texts)
-    assert minhash.keep_one(make_docs(spark, [])).collect() == []
-    odd = minhash.keep_one(make_docs(spark, edge_texts)).collect()
+    assert simhash.keep_one(make_docs(spark, [])).collect() == []
+    odd = simhash.keep_one(make_docs(spark, edge_texts)).collect()
     assert len({(r.doc_id, r.text) for r in odd}) == len(odd) and (None, "no id") in {(r.doc_id, r.text) for r in odd}
+
+
+def test_chunks_of_a_cluster_and_columns_of_any_name(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    texts = near_copies(rng)
+    frame = make_docs(spark, texts).selectExpr("*", "'k' as _key", "1 as node", "2 as key", "3 as id")
+    monkeypatch.setattr(minhash, "CHUNK", 3)
+    kept = simhash.keep_one(frame)
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id, r._key, r.node) for r in kept.collect()) == [(i, "k", 1) for i in brute_first(texts)]
+
+
+def test_shared_counts():
+    rng = np.random.default_rng(14)
+    sets = [np.unique(rng.integers(0, 50, n)) for n in rng.integers(0, 40, 30)]
+    want = np.array([[len(set(a.tolist()) & set(b.tolist())) if i != j else len(a) for j, b in enumerate(sets)] for i, a in enumerate(sets)])
+    got = minhash.shared_counts(sets, 30)
+    off = ~np.eye(30, dtype=bool)
+    assert (got[off] == want[off]).all() and (minhash.shared_counts(sets, 12) == want[:12, 12:]).all()
