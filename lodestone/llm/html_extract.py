@@ -7,14 +7,16 @@ the most probable labelling of the whole tree in which nothing below a dropped n
 leaves; kept runs are the blocks. The trees are trained here in numpy on generated pages whose main text is known (a seeded
 generator of layouts, so that every session has the same model); no page of the input is a training page.
 
-Null html is an empty page, and a page without main text has an empty text. Nesting deeper than MAX_DEPTH is flattened, not
-dropped. Repeated rows come back once each. An empty table gives an empty table.
+Null html is an empty page, and a page without main text has an empty text. Elements deeper than MAX_DEPTH are flattened: their
+text belongs to the element at that depth, and their end tags close nothing else. Text is left out before the trees only inside
+elements that never show text of the page (SILENT), whose ends are found as browsers find them where the end tag may be missing. Repeated rows come back once each. An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from html.parser import HTMLParser
@@ -30,11 +32,15 @@ from lodestone.llm.common import as_bytes, byte_slices
 MAX_DEPTH = 200
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Never text of a page.
-SILENT = frozenset("script style head title noscript template iframe object svg math canvas audio video select option textarea button datalist".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
+SILENT = frozenset("script style head title noscript template iframe svg canvas audio video select option textarea button datalist".split())
+_HEAD_CONTENT = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+INLINE = frozenset("math mi mn mo ms mrow msup msub msubsup mfrac msqrt mroot mtext mover munder semantics a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
 #: What an opening tag closes, up to the nearest of the second set.
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 _SCOPES = frozenset("table td th article section div main aside nav header footer form blockquote ul ol li body html".split())
+#: Where the search for what an end tag closes ends.
+_CELLS = frozenset("table td th caption".split())
+_END_LIMITS = {"li": frozenset("ul ol menu table td th".split()), **{t: frozenset(["table"]) for t in "tr td th thead tbody tfoot caption".split()}, "table": frozenset(), "html": frozenset(), "body": frozenset()}
 TAGS = ("article main section div p li ul ol h1 h2 h3 h4 h5 h6 blockquote pre table tr td nav header footer aside form figure figcaption dl dt dd body html details address #run").split()
 #: Attribute tokens, by what they say.
 WORDS = {
@@ -64,19 +70,39 @@ class Node:
 
 
 class Builder(HTMLParser):
-    """Block elements and runs; inline tags belong to the run that they are in."""
+    """Block elements and runs; inline tags belong to the run that they are in.
+
+    Silence is a stack of what is open inside a silent element. It ends with that element: at its end tag, where its end tag is
+    implied (head, option, optgroup, select, button), or at the end tag of an element around it. Elements deeper than MAX_DEPTH are
+    counted by name, so that their end tags close them and no element around them; their text stays in the deepest one above.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("html", 0, None)
-        self.at, self.run, self.silent, self.anchors = self.root, None, 0, 0
+        self.at, self.run, self.anchors = self.root, None, 0
+        self.silent: list[str] = []
+        self.deep: list[str] = []
+        self.deep_names: Counter[str] = Counter()
+
+    def _hush(self, tag: str) -> bool:
+        """Takes a start tag inside silence; False if the silence ends before it."""
+        if tag == "body" or (self.silent == ["head"] and tag not in _HEAD_CONTENT) or (tag in ("input", "textarea", "select") and self.silent[0] == "select") or (tag == "button" and self.silent[0] == "button"):
+            self.silent = []
+            return False
+        while tag in ("option", "optgroup") and len(self.silent) > 1 and self.silent[-1] in ("option", tag):
+            self.silent.pop()
+        if tag == "option" and self.silent == ["option"]:
+            return True
+        if tag not in VOID:
+            self.silent.append(tag)
+        return True
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self.silent:
-            self.silent += tag in SILENT
+        if self.silent and self._hush(tag):
             return
         if tag in SILENT:
-            self.silent = 1
+            self.silent = [tag]
             return
         if tag in INLINE:
             if tag == "a":
@@ -87,6 +113,9 @@ class Builder(HTMLParser):
         self.run, self.anchors = None, 0
         if tag in VOID or tag in ("html", "body"):
             return
+        if self.deep:
+            self._sink(tag)
+            return
         closes, scope = _CLOSES.get(tag, (frozenset(), _SCOPES))
         closes = closes or {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
         node = self.at
@@ -96,36 +125,66 @@ class Builder(HTMLParser):
                 if tag not in _CLOSES:
                     break
             node = node.parent
+        if self.at.depth >= MAX_DEPTH:
+            self._sink(tag)
+            return
         marks = 0
         for k, v in attrs:
             if v and k in ("class", "id", "role", "aria-label", "itemprop"):
                 for w in _SPLIT.split(v.lower()):
                     marks |= _OF_WORD.get(w, 0)
-        if self.at.depth < MAX_DEPTH:
-            node = Node(tag, marks, self.at)
-            self.at.children.append(node)
-            self.at = node
+        node = Node(tag, marks, self.at)
+        self.at.children.append(node)
+        self.at = node
+
+    def _sink(self, tag: str) -> None:
+        self.deep.append(tag)
+        self.deep_names[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         if tag in VOID or tag in INLINE:
             self.handle_starttag(tag, attrs)
+        elif not self.silent and tag not in SILENT:
+            self.run = None
+
+    def _opened(self, tag: str) -> Node | None:
+        """The element that an end tag closes."""
+        limits = _END_LIMITS.get(tag, _CELLS)
+        node = self.at
+        while node.parent and node.tag != tag:
+            if node.tag in limits:
+                return None
+            node = node.parent
+        return node if node.parent else None
 
     def handle_endtag(self, tag: str) -> None:
         if self.silent:
-            self.silent -= tag in SILENT
-            return
+            if tag in self.silent:
+                while self.silent.pop() != tag:
+                    pass
+                return
+            if tag in INLINE or not (tag in ("body", "html") or self.deep_names[tag] or self._opened(tag)):
+                return
+            self.silent = []
         if tag in INLINE:
             if tag == "a":
                 self.anchors = 0
             return
-        node = self.at
-        while node.parent and node.tag != tag:
-            node = node.parent
         self.run = None
-        if node.parent:
+        if self.deep_names[tag]:
+            while True:
+                last = self.deep.pop()
+                self.deep_names[last] -= 1
+                if last == tag:
+                    return
+        node = self._opened(tag)
+        if node:
             self.at, self.anchors = node.parent, 0
+            self.deep, self.deep_names = [], Counter()
 
     def handle_data(self, data: str) -> None:
+        if self.silent == ["head"] and data.strip():
+            self.silent = []
         if self.silent or not data:
             return
         if self.run is None:
@@ -180,10 +239,10 @@ def features(nodes: list[Node]) -> np.ndarray:
     place = np.zeros(n)
     same = np.zeros(n)
     for x in nodes:
-        tags = [c.tag for c in x.children]
+        tags = Counter(c.tag for c in x.children)
         for k, c in enumerate(x.children):
             place[index[id(c)]] = k
-            same[index[id(c)]] = tags.count(c.tag) if len(tags) < 200 else 200
+            same[index[id(c)]] = tags[c.tag]
     total = max(1.0, sums[0, 0])
     chars = np.maximum(sums[:, 0], 1)
     seen = np.cumsum(own[:, 0]) - own[:, 0]
@@ -332,6 +391,12 @@ class Pages:
             return self.named("div div ul", "share social tags byline meta", self.links())
         return self.comments()
 
+    def wrapped(self, inner: str) -> str:
+        """Inside plain elements, as builders of pages nest them."""
+        n = self.r.choice([self.r.randint(1, 4), self.r.randint(3, 12), self.r.randint(5, 40)])
+        tags = self.r.choices(["div", "div", "div", "section"], k=n)
+        return "".join(f"<{t}>" for t in tags) + inner + "".join(f"</{t}>" for t in reversed(tags))
+
     def comments(self) -> str:
         one = lambda: self.named("li div article", "comment reply comment-body", f"<p><b>{self.few(2)}</b></p>" * self.r.randint(0, 1) + f"<p>{self.prose(3, 70)}</p>", 0)
         return self.named("section div ol div", "comments comment-list discussion responses", f"<h3>{self.few(3)}</h3>" * self.r.randint(0, 1) + "".join(one() for _ in range(self.r.randint(1, 6))), 0)
@@ -339,7 +404,7 @@ class Pages:
     def block(self, paragraphs: float = 0.6) -> str:
         r, roll, k = self.r, self.r.random(), self.KEPT
         if roll < paragraphs:
-            inner = self.prose()
+            inner = self.prose() if r.random() < 0.85 else self.prose(1, 4)
             if r.random() < 0.3:
                 inner = f"<b>{k}{inner}</b> {self.prose(1, 20)}"
             elif r.random() < 0.3:
@@ -367,6 +432,8 @@ class Pages:
         r, k = self.r, self.KEPT
         plain = r.choice([0.6, 0.6, 1.0])
         body = [self.block(plain) for _ in range(r.choice([r.randint(1, 16), r.randint(1, 16), r.randint(10, 80)]))]
+        if r.random() < 0.2:
+            body = [self.wrapped(x) if r.random() < 0.3 else x for x in body]
         title = self.few(14)
         if r.random() < 0.85:
             heading = f"<h1>{k}{title}</h1>"
@@ -387,6 +454,8 @@ class Pages:
             main = self.named("div main section", "page content wrapper container", main + "".join(self.clutter() for _ in range(r.choice([0, 1]))))
         if r.random() < 0.25:
             main = self.named("main div", "main wrap layout", self.clutter() * r.randint(0, 1) + main, 0.5)
+        if r.random() < 0.2:
+            main = self.wrapped(main)
         top = [self.named("nav", "menu", self.links(), 0.7)] if r.random() < 0.6 else []
         if r.random() < 0.5:
             top.append(self.named("header div", "header masthead top site-header", f"<h1>{self.few(3)}</h1>" * r.randint(0, 1) + (self.links() if r.random() < 0.6 else self.few()), 0.5))
@@ -402,7 +471,7 @@ class Pages:
 
 
 @lru_cache(1)
-def trained(pages: int = 500, seed: int = 7) -> Boosted:
+def trained(pages: int = 800, seed: int = 7) -> Boosted:
     make, xs, ys = Pages(seed), [], []
     for _ in range(pages):
         nodes = parse(make.page())

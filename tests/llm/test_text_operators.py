@@ -7,6 +7,8 @@ from collections import Counter
 import numpy as np
 import pytest
 from conftest import make_docs
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lodestone.llm import decontaminate, html_extract, pii, quality, suffix_lm
@@ -235,6 +237,44 @@ def test_pages(spark):
     assert html_extract.extract_pages(frame.where("false")).collect() == []
 
 
+ARTICLE = "<article><h1>Head line here</h1><p>A first paragraph with words enough, and a second sentence.</p>{}<p>A last paragraph that closes the text, as it should be.</p></article>"
+ENDS = "Head line here\n\nA first paragraph with words enough, and a second sentence.{}\n\nA last paragraph that closes the text, as it should be."
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        (f"<html><head><title>t</title><meta charset=utf-8><body>{ARTICLE.format('')}", ENDS.format("")),
+        (f"<head><title>t</title>{ARTICLE.format('')}", ENDS.format("")),
+        (f"<body><form><select><optgroup label=x><option>a<option>b<optgroup><option>c</select></form>{ARTICLE.format('')}", ENDS.format("")),
+        (f"<body><div><button>press</div>{ARTICLE.format('')}", ENDS.format("")),
+        (f"<body><div><button>one<button>two</button></div>{ARTICLE.format('')}", ENDS.format("")),
+        (f"<body><div><button><div>in</div><p>more</button></div>{ARTICLE.format('')}", ENDS.format("")),
+        (f"<body><div><datalist><option>a<option>b</datalist></div>{ARTICLE.format('')}", ENDS.format("")),
+        (f"<body><div><video><source src=x><p>no video</video></div>{ARTICLE.format('')}", ENDS.format("")),
+        (f"<body>{ARTICLE.format('<script>var a = 1 < 2;</script><style>p {}</style>')}<script src=x></script>", ENDS.format("")),
+        (f"<body>{'<div>' * 20}{ARTICLE.format('')}{'</div>' * 20}", ENDS.format("")),
+        (f"<body><div>{ARTICLE.format('<div>' * 250 + '</div>' * 250)}</div>", ENDS.format("")),
+    ],
+)
+def test_ends_of_elements(html, want):
+    assert html_extract.main_text(html, html_extract.trained()) == want
+
+
+def test_deep_nesting_keeps_what_follows_in_place():
+    nodes = html_extract.parse(f"<main><article>{'<div>' * 300}<p>in</p>{'</div>' * 300}<p>after</p></article><footer>foot</footer></main>")
+    place = {"".join(n.text): n for n in nodes if n.tag == "#run"}
+    assert place["after"].parent.parent.tag == "article" and place["foot"].parent.tag == "footer" and place["in"].depth == html_extract.MAX_DEPTH + 1
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([f"<{x}{t}>" for t in "div p ul li table tr td section h2 a b span article body br hr blockquote dl dt dd".split() for x in ("", "/")] + ["word{} ", "<!-- c -->", "<select><option>no</select>", "<script>no</script>", "<button>no</button>", "<head><title>no</title></head>"]), max_size=60))
+def test_parsing_loses_no_text_outside_silent_elements(parts):
+    page = "".join(x.format(i) for i, x in enumerate(parts))
+    seen = "".join(t for n in html_extract.parse(page) for t in n.text)
+    assert re.findall("word[0-9]+", seen) == [f"word{i}" for i, x in enumerate(parts) if x.startswith("word")] and "no" not in seen
+
+
 def test_decoding_never_keeps_below_a_dropped_node():
     nodes = html_extract.parse("<div><p>a</p><section><p>b</p><p>c</p></section></div>")
     rng = np.random.default_rng(0)
