@@ -29,17 +29,23 @@ class PieceEncoder:
     space are encoded whole. Otherwise white space is dropped by the tokenizer, and any space is a cut.
     New words are joined to short texts and their ids parted at the mark that opens (spaced) or closes each word's ids; where
     these don't part as many words as went in, the batch's words are encoded one by one.
+    Texts that hold the string of an added token (special ones too) are encoded whole, so ids are those of the tokenizer as it is
+    read from its file: such a string is that token. With special_as_text it is ordinary text.
     `limit` bounds the pieces that are kept between batches; those met early stay.
     """
 
-    def __init__(self, path: str, spaced: bool, limit: int = 400_000):
+    def __init__(self, path: str, spaced: bool, limit: int = 400_000, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.joined = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.joined.model._resize_cache(0)  # what recurs is in `known`
         for x in (self.tokenizer, self.joined):
-            x.encode_special_tokens = True
+            x.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [x.content for x in added if not (x.special and special_as_text)]
+        # what a normalizer turns into such a string isn't looked for, so all texts are whole then
+        self.whole = self.tokenizer.normalizer is not None and any(x.normalized and x.content in self.added for x in added)
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edge[[i for x, i in vocabulary.items() if (x.startswith("\u0120") if spaced else x.endswith("</w>"))]] = True
@@ -106,14 +112,16 @@ class PieceEncoder:
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null is empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        odd = np.zeros(0, np.int64)
-        if self.spaced:
-            bad = pc.match_substring_regex(texts, _RUN)
-            odd = np.flatnonzero(bad.to_numpy(zero_copy_only=False))
-            whole = self.plain(texts.take(pa.array(odd)).to_pylist()).to_pylist()
-            cut = pc.split_pattern(pc.if_else(bad, pa.scalar("", pa.large_string()), texts) if len(odd) else texts, " ")
-        else:
-            whole, cut = [], pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        bad = pc.match_substring_regex(texts, _RUN) if self.spaced else pa.array(np.zeros(len(texts), bool))
+        for x in self.added:
+            bad = pc.or_(bad, pc.match_substring(texts, x))
+        if self.whole:
+            bad = pa.array(np.ones(len(texts), bool))
+        odd = np.flatnonzero(bad.to_numpy(zero_copy_only=False))
+        whole = self.plain(texts.take(pa.array(odd)).to_pylist()).to_pylist() if len(odd) else []
+        if len(odd):
+            texts = pc.if_else(bad, pa.scalar("", pa.large_string()), texts)
+        cut = pc.split_pattern(texts if self.spaced else pc.replace_substring(texts, "\n", " "), " ")
         bounds = cut.offsets.to_numpy()
         coded = cut.values[bounds[0] : bounds[-1]].dictionary_encode()
         bounds = bounds - bounds[0]

@@ -15,16 +15,15 @@ from lodestone.llm.tokens import PieceEncoder
 
 
 def plain(name):
-    t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
-    return t
+    """The tokenizer as its file has it."""
+    return Tokenizer.from_file(public_tokenizers.path(name))
 
 
 @pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_pieces_give_the_tokenizers_ids(name, spaced, edge_texts):
     whole = plain(name)
     own = PieceEncoder(public_tokenizers.path(name), spaced, limit=50)
-    texts = [t or "" for _, t in edge_texts]
+    texts = [t or "" for _, t in edge_texts] + ["a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>y <|ENDOFTEXT|> z", "  <|endoftext|>  a  b", "<|endoftext| >"]
     for _ in range(2):
         got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(pa.array(texts))]
         assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
@@ -35,6 +34,10 @@ def test_pieces_give_the_tokenizers_ids(name, spaced, edge_texts):
         assert np.frombuffer(own.encode(pa.array([text]))[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
     same()
+    whole.encode_special_tokens = True
+    as_text = PieceEncoder(public_tokenizers.path(name), spaced, special_as_text=True)
+    for t in texts:
+        assert np.frombuffer(as_text.encode(pa.array([t]))[0], "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
 def test_first_fit_decreasing_against_plain_search():
