@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 from conftest import make_docs
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -19,6 +20,11 @@ def plain(name):
     return Tokenizer.from_file(public_tokenizers.path(name))
 
 
+def spark_hash(text):
+    """Spark's xxhash64 of a string."""
+    return 42 if text is None else int.from_bytes(xxhash.xxh64_digest(text.encode(), 42), "big", signed=True)
+
+
 @pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_pieces_give_the_tokenizers_ids(name, spaced, edge_texts):
     whole = plain(name)
@@ -97,13 +103,21 @@ def test_token_files(spark, edge_texts, tmp_path):
     path = f"file://{tmp_path}/tokens"
     rows = bitpack.token_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, vocabulary=49_408, path=path, block_tokens=500, part_bytes=20_000).collect()
     whole = plain("word_bpe_49k.json")
-    at, want = 0, []
-    for i, t in sorted(edge_texts, key=lambda x: (x[0] is not None, x[0], x[1] is not None, x[1])):
+    at, want, every = 0, [], []
+    for i, t in sorted(edge_texts, key=lambda x: (x[0] is not None, x[0], spark_hash(x[1]))):
         ids = np.array([*whole.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
         want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
+        every += ids.tolist()
     assert sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == [(a, i, n, c) for i, a, n, c in want]
     blocks = spark.read.parquet(path).collect()
     assert len(blocks) > 3 and {b.bits for b in blocks} == {16}
+    for a, b in ((0, 5), (490, 1510), (at - 3, at + 9), (7, 7), (0, at)):
+        got = bitpack.read_token_range(spark, path, a, b).orderBy("start").collect()
+        assert [x for r in got for x in r.ids] == every[a:b] and (not got or got[0].start == a)
+    long = max((w for w in want if w[0] is not None), key=lambda w: w[2])
+    own = bitpack.read_document_range(spark, path, long[0], 11, 2500).collect()
+    assert [r.ids for r in own] == [every[long[1] + 11 : long[1] + 2500]] and bitpack.read_document_range(spark, path, -5, 0, 9).collect() == []
+    assert len(bitpack.read_document_range(spark, path, 3, 0, 1).collect()) == sum(i == 3 for i, _ in edge_texts)
     empty = bitpack.token_round_trip(make_docs(spark, []), public_tokenizers.path("word_bpe_49k.json"), end_id=2, vocabulary=49_408)
     assert empty.collect() == []
