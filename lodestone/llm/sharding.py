@@ -53,6 +53,8 @@ def write_shards(docs: DataFrame, path: str, *, shards: int = 40, seed: int = 23
         return table.select(columns).take(pa.array(order)).append_column("place", pa.array(np.arange(table.num_rows, dtype=np.int64)))
 
     schema = placed.select(*columns).withColumn("place", F.lit(0).cast("bigint")).schema
+    # about a bucket a task, whatever the session's number of partitions
+    placed = placed.repartition(shards * buckets, "shard", "bucket")
     placed.groupBy("shard", "bucket").applyInArrow(shuffle, schema).write.partitionBy("shard").parquet(path)
     return read_shards(spark, path, schema)
 
