@@ -1,17 +1,20 @@
 """Language-model scores by a probabilistic suffix tree, beside a smoothed unigram baseline.
 
 A text is lower-cased (A-Z) and cut into words at white space. The model's symbols are the bytes of the words joined by single
-spaces, then one end symbol. Contexts are the last 0 to DEPTH bytes; bytes before a text's start read as end symbols.
-A context is retained if its share of the training symbols is at least MIN_SHARE and the divergence of its next-symbol
-distribution from its parent's (the context without its first byte) is at least DIVERGENCE bits, or if a longer retained context
-ends in it. So a tree has at most 1 / MIN_SHARE contexts of each length, whatever the corpus: that bounds what is broadcast.
-A context's distribution is its counts plus ALPHA times its parent's distribution; next symbols rarer than a quarter of
-MIN_SHARE give their counts to that share. The longest retained suffix is the state that predicts the next byte.
+spaces, then one end symbol. Contexts are the last 0 to DEPTH bytes (DEPTH, the order of the tree, is a parameter, 7 at most); bytes
+before a text's start read as end symbols. A context is retained if it stands LEAST times or more in the training texts, whatever
+their size, and the divergence of its next-symbol distribution from its parent's (the context without its first byte) is at least
+DIVERGENCE bits, or if a longer retained context ends in it. So the tree grows with the corpus. A retained context's distribution is
+(counts + ALPHA times its parent's distribution) / (all + ALPHA); the root's parent is uniform over bytes. The longest retained suffix
+is the state that predicts the next byte. Nothing is rounded off: all counts enter, and every gram of the corpus gets its probability.
+
+The tree is a set of tables, one for each length, made level by level by joins on the context and on its suffix; a context has at
+most 256 symbols, so no key is hot. Only scores of frequent grams and counts of frequent words are broadcast, at most COMMON rows each
+(the frequency they need is found by a histogram); all others are joined, and by their choice none has a large part of the rows.
 
 Counts cover all training documents (held out: crc32 of the doc_id as text is 0 modulo FOLDS; a null doc_id is never held out). Words
-are counted by a 64-bit hash; words with at least a COMMON-th of all training tokens (at most COMMON words) are broadcast, all
-others are joined. Null text is empty; an empty text has its end token. Repeated rows are scored once each and counted each time.
-With no training document the tree is uniform over bytes and no token is known. An empty table gives an empty table.
+are counted by a 64-bit hash. Null text is empty; an empty text has its end token. Repeated rows are scored once each and counted each
+time. With no training document the tree is uniform over bytes and no token is known. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -25,12 +28,12 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import as_bytes, byte_slices, materialize
 
-DEPTH, MIN_SHARE, DIVERGENCE, ALPHA, FOLDS, COMMON = 5, 1e-6, 0.02, 2.0, 10, 1_000_000
+DEPTH, LEAST, DIVERGENCE, ALPHA, FOLDS, COMMON = 5, 8, 0.02, 2.0, 10, 1_000_000
 END = 10  # a byte that no word holds
 
 
@@ -62,141 +65,127 @@ class Slice:
 
 
 def _count(batches: Iterator[pa.RecordBatch], depth: int, folds: int) -> Iterator[pa.RecordBatch]:
-    """(kind, key, n): kind 0 words, 1 end tokens, 2 symbols with their longest context."""
+    """(kind, key, n): kind 0 words, 1 end tokens, 2 symbols with their longest context; those of held-out texts too, with n 0."""
     for batch in batches:
-        for rows in byte_slices(batch, "text", 5_000_000):
-            train = ~held_out(rows.column("doc_id").to_pylist(), folds)
-            texts = [x for x, t in zip(as_bytes(rows.column("text")), train.tolist(), strict=True) if t]
-            if not texts:
-                continue
-            own = Slice(texts, depth)
+        for rows in byte_slices(batch, "text", 8_000_000):
+            held = held_out(rows.column("doc_id").to_pylist(), folds).tolist()
+            every = as_bytes(rows.column("text"))
+            own = Slice([x for x, h in zip(every, held, strict=True) if not h], depth)
+            other = pd.unique(Slice([x for x, h in zip(every, held, strict=True) if h], depth).grams)
             grams = pd.Series(own.grams).value_counts(sort=False)
-            kinds = np.r_[np.zeros(len(own.hashes), np.int8), np.int8(1), np.full(len(grams), 2, np.int8)]
-            keys = np.r_[own.hashes, 0, grams.index.to_numpy(np.uint64).view(np.int64)]
-            n = np.r_[np.bincount(own.codes, minlength=len(own.hashes)), len(texts), grams.to_numpy()].astype(np.int64)
+            other = np.setdiff1d(other, grams.index.to_numpy(np.uint64))
+            kinds = np.r_[np.zeros(len(own.hashes), np.int8), np.int8(1), np.full(len(grams) + len(other), 2, np.int8)]
+            keys = np.r_[own.hashes, 0, grams.index.to_numpy(np.uint64).view(np.int64), other.view(np.int64)]
+            n = np.r_[np.bincount(own.codes, minlength=len(own.hashes)), held.count(False), grams.to_numpy(), np.zeros(len(other))].astype(np.int64)
             for i in range(0, len(keys), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50_000]) for x in (kinds, keys, n)], names=["kind", "key", "n"])
 
 
-class Tree:
-    """Retained contexts by length: sorted contexts, the logarithm of the share that goes to the parent, and sorted (context, symbol) pairs with log10 probabilities."""
-
-    def __init__(self, root: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]):
-        self.root, self.levels = root, levels
-
-    @classmethod
-    def learn(cls, rows: list[tuple[int, int, int, list]], depth: int, divergence: float, alpha: float) -> Tree:
-        """rows: (length, context, count, [(symbol, count)]), of frequent contexts and symbols only."""
-        found: list[dict[int, tuple[int, dict[int, int]]]] = [{} for _ in range(depth + 1)]
-        for k, ctx, total, following in rows:
-            found[k][ctx] = (total, {s: n for s, n in following})
-        total, counts = found[0].get(0, (0, {}))
-        root = np.full(256, (alpha + total - sum(counts.values())) / 256 / (total + alpha))
-        for s, n in counts.items():
-            root[s] += n / (total + alpha)
-        kept: list[set[int]] = [set() for _ in range(depth + 1)]
-        for k in range(1, depth + 1):
-            for ctx, (n, following) in found[k].items():
-                above = found[k - 1].get(ctx & ((1 << 8 * (k - 1)) - 1))
-                if above is None:
-                    continue
-                gain = sum(c / n * np.log2((c / n) / max(above[1].get(s, 0.5) / above[0], 1e-12)) for s, c in following.items())
-                if gain >= divergence:
-                    for j in range(1, k + 1):
-                        kept[j].add(ctx & ((1 << 8 * j) - 1))
-        prob: list[dict[int, dict[int, float]]] = [{0: dict(enumerate(root.tolist()))}]
-        back: list[dict[int, float]] = [{0: 1.0}]
-
-        def below(k: int, ctx: int, s: int) -> float:
-            """P(s | ctx) at length k or shorter."""
-            share = 1.0
-            for j in range(k, -1, -1):
-                c = ctx & ((1 << 8 * j) - 1)
-                if c in prob[j]:
-                    if s in prob[j][c]:
-                        return share * prob[j][c][s]
-                    share *= back[j][c]
-            raise AssertionError("the root has all symbols")
-
-        for k in range(1, depth + 1):
-            prob.append({})
-            back.append({})
-            for ctx in kept[k]:
-                n, following = found[k][ctx]
-                rest = (alpha + n - sum(following.values())) / (n + alpha)
-                back[k][ctx] = rest
-                prob[k][ctx] = {s: c / (n + alpha) + rest * below(k - 1, ctx, s) for s, c in following.items()}
-        levels = []
-        for k in range(1, depth + 1):
-            ctx = np.array(sorted(kept[k]), np.uint64)
-            pairs = sorted((c << 8 | s, p) for c, own in prob[k].items() for s, p in own.items())
-            levels.append((ctx, np.log10([back[k][int(c)] for c in ctx]), np.array([x for x, _ in pairs], np.uint64), np.log10([p for _, p in pairs])))
-        return cls(np.log10(root), levels)
-
-    def score(self, grams: np.ndarray) -> np.ndarray:
-        """log10 probability of the last byte of each gram after the bytes before it."""
-        out, open_ = np.zeros(len(grams)), np.arange(len(grams))
-        for k in range(len(self.levels), 0, -1):
-            ctx, back, pairs, prob = self.levels[k - 1]
-            if not len(ctx):
-                continue
-            own = grams[open_] & np.uint64((1 << 8 * (k + 1)) - 1)
-            at = np.minimum(np.searchsorted(ctx, own >> np.uint64(8)), len(ctx) - 1)
-            state = ctx[at] == own >> np.uint64(8)
-            place = np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)
-            hit = state & (pairs[place] == own)
-            out[open_[hit]] += prob[place[hit]]
-            miss = state & ~hit
-            out[open_[miss]] += back[at[miss]]
-            open_ = open_[~hit]
-        out[open_] += self.root[(grams[open_] & np.uint64(255)).astype(np.int64)]
-        return out
-
-
-def _score(batches: Iterator[pa.RecordBatch], tree: Broadcast, common: Broadcast, totals: tuple, depth: int, folds: int) -> Iterator[pa.RecordBatch]:
-    """A head row for each text (word is null) and a row for each of its words that isn't broadcast."""
-    model, (names, counts), (n_all, v, ends) = tree.value, common.value, totals
+def _low(key: Column, size: int) -> Column:
+    """The last `size` bytes of a key."""
+    return key.bitwiseAND(F.lit((1 << 8 * size) - 1)) if size < 8 else key
+
+
+def gram_scores(counts: DataFrame, depth: int, least: int, divergence: float, alpha: float) -> DataFrame:
+    """(key, n, score): log10 probability of the last byte of each gram of depth + 1 bytes after the bytes before it, from (key, n)."""
+    grams = {depth: counts}
+    for k in range(depth - 1, -1, -1):
+        grams[k] = materialize(grams[k + 1].groupBy(_low(F.col("key"), k + 1).alias("key")).agg(F.sum("n").alias("n")), "lm-grams")
+    levels, tests = {}, {}
+    context = F.shiftrightunsigned("key", 8)
+    for k in range(depth + 1):
+        own = grams[k].withColumn("ctx", context if k else F.lit(0).cast("bigint"))
+        own = own.withColumn("total", F.sum("n").over(Window.partitionBy("ctx")))
+        if k == 0:
+            levels[0] = materialize(own, "lm-level")
+            continue
+        parent = levels[k - 1].select(F.col("key").alias("up"), F.col("n").alias("up_n"), F.col("total").alias("up_total"))
+        levels[k] = materialize(own.withColumn("up", _low(F.col("key"), k)).join(parent, "up").select("key", "up", "ctx", "n", "total", "up_n", "up_total"), "lm-level")
+        share = F.col("n") / F.col("total")
+        gain = F.sum(F.when(F.col("n") > 0, share * F.log2(share / (F.col("up_n") / F.col("up_total")))))
+        passed = levels[k].where(F.col("total") >= least).groupBy("ctx").agg(gain.alias("gain")).where(F.col("gain") >= divergence)
+        tests[k] = passed.select("ctx")
+    kept = {}
+    for k in range(depth, 0, -1):
+        # what longer contexts end in is retained with them
+        both = tests[k] if k == depth else tests[k].unionByName(kept[k + 1].select(_low(F.col("ctx"), k).alias("ctx")))
+        kept[k] = materialize(both.distinct(), "lm-kept")
+    p = materialize(levels[0].select("key", "n", ((F.col("n") + alpha / 256) / (F.col("total") + alpha)).alias("p")), "lm-p")
+    for k in range(1, depth + 1):
+        rows = levels[k].join(p.select(F.col("key").alias("up"), F.col("p").alias("up_p")), "up").join(kept[k].withColumn("kept", F.lit(True)), "ctx", "left")
+        own = (F.col("n") + alpha * F.col("up_p")) / (F.col("total") + alpha)
+        p = materialize(rows.select("key", "n", F.when(F.col("kept"), own).otherwise(F.col("up_p")).alias("p")), "lm-p")
+    return p.select("key", "n", F.log10("p").alias("score"))
+
+
+def frequent(rows: DataFrame, most: int) -> DataFrame:
+    """The rows whose n is at least the least that at most `most` rows have; a row's n is at least 1."""
+    step = F.floor(F.log2("n") * 16).cast("int")
+    found = sorted(((r.step, r.rows) for r in rows.where("n > 0").groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()), reverse=True)  # some 1000 rows at most
+    total, least = 0, None
+    for at, n in found:
+        total += n
+        if total > most:
+            break
+        least = at
+    return rows.where(F.lit(False)) if least is None else rows.where("n > 0").where(step >= least)
+
+
+def _lookup(names: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in sorted names, and whether they are there."""
+    if not len(names):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
+    return at, names[at] == wanted
+
+
+def _rare(row: np.ndarray, doc: np.ndarray, codes: np.ndarray, keys: np.ndarray, kind: int) -> pa.RecordBatch | None:
+    """(row, kind, key, tf) of what isn't broadcast."""
+    if not len(doc):
+        return None
+    pair, tf = np.unique(doc * np.int64(len(keys)) + codes, return_counts=True)
+    cols = [pa.array(row[pair // len(keys)]), pa.array(np.full(len(pair), kind, np.int8)), pa.array(keys[pair % len(keys)]), pa.array(tf.astype(np.int32))]
+    return pa.RecordBatch.from_arrays([*cols, *[pa.nulls(len(pair), t) for t in _REST]], names=_NAMES)
+
+
+def _score(batches: Iterator[pa.RecordBatch], sent: Broadcast, totals: tuple, depth: int, folds: int) -> Iterator[pa.RecordBatch]:
+    """A head row for each text (kind -1) and a row for each of its words (kind 0) and grams (kind 2) that isn't broadcast."""
+    (names, counts, grams, scores), (n_all, v, ends) = sent.value, totals
     log_all = np.log10(n_all + 0.1 * (v + 1))
     for batch in batches:
         for rows in byte_slices(batch, "text", 5_000_000):
             own = Slice(as_bytes(rows.column("text")), depth)
             doc = np.repeat(np.arange(rows.num_rows), own.n_words)
-            at = np.minimum(np.searchsorted(names, own.hashes), max(0, len(names) - 1))
-            frequent = names[at] == own.hashes if len(names) else np.zeros(len(own.hashes), bool)
-            value = np.where(frequent, np.log10((counts[at] if len(names) else 0) + 0.1) - log_all, 0)
+            at, known = _lookup(names, own.hashes)
+            value = np.where(known, np.log10((counts[at] if len(names) else 0) + 0.1) - log_all, 0)
             codes, distinct = pd.factorize(own.grams)
+            distinct = distinct.view(np.int64)
             symbols = np.repeat(np.arange(rows.num_rows), own.n_symbols)
-            score = np.bincount(symbols, model.score(distinct)[codes], rows.num_rows)
+            at, scored = _lookup(grams, distinct)
+            gram_value = np.where(scored, scores[at] if len(grams) else 0, 0)
+            score = np.bincount(symbols, gram_value[codes], rows.num_rows)
             base = np.bincount(doc, value[own.codes], rows.num_rows) + np.log10(ends + 0.1) - log_all
-            known = np.bincount(doc, frequent[own.codes], rows.num_rows).astype(np.int64) + (ends > 0)
+            n_known = np.bincount(doc, known[own.codes], rows.num_rows).astype(np.int64) + (ends > 0)
             row = rows.column("_row").to_numpy()
             out = held_out(rows.column("doc_id").to_pylist(), folds)
-            heads = [pa.array(row), pa.array(_mixed(row)), pa.array(np.zeros(len(row), np.int32)), pa.array(np.ones(len(row), bool)), rows.column("doc_id"), pa.array(out), pa.array(own.n_words + 1), pa.array(known), pa.array(base), pa.array(score)]
-            heads = pa.RecordBatch.from_arrays(heads, names=_NAMES)
-            yield heads
-            rare = np.flatnonzero(~frequent[own.codes])
-            if not len(rare):
-                continue
-            pair = doc[rare] * np.int64(len(own.hashes)) + own.codes[rare]
-            pair, tf = np.unique(pair, return_counts=True)
-            cols = [pa.array(row[pair // len(own.hashes)]), pa.array(own.hashes[pair % len(own.hashes)]), pa.array(tf.astype(np.int32)), pa.array(np.zeros(len(pair), bool))]
-            rest = [pa.nulls(len(pair), f.type) for f in list(heads.schema)[4:]]
-            whole = pa.RecordBatch.from_arrays([*cols, *rest], names=_NAMES)
-            for i in range(0, len(pair), 50_000):
-                yield whole.slice(i, 50_000)
-
+            heads = [pa.array(row), pa.array(np.full(len(row), -1, np.int8)), pa.array(np.zeros(len(row), np.int64)), pa.array(np.ones(len(row), np.int32))]
+            rest = [pa.array(out), pa.array(own.n_words + 1), pa.array(n_known), pa.array(base), pa.array(score)]
+            yield pa.RecordBatch.from_arrays([*heads, *rest, rows.column("doc_id")], names=[*_NAMES, "doc_id"])
+            words, others = np.flatnonzero(~known[own.codes]), np.flatnonzero(~scored[codes])
+            for whole in (_rare(row, doc[words], own.codes[words], own.hashes, 0), _rare(row, symbols[others], codes[others], distinct, 2)):
+                for i in range(0, 0 if whole is None else whole.num_rows, 50_000):
+                    part = whole.slice(i, 50_000)
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.nulls(part.num_rows, rows.schema.field("doc_id").type)], names=[*_NAMES, "doc_id"])
 
-_NAMES = ["_row", "h", "tf", "head", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
 
+_NAMES = ["_row", "kind", "key", "tf", "held_out", "n_tokens", "n_known", "base", "score"]
+_REST = [pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
-def _mixed(row: np.ndarray) -> np.ndarray:
-    """Head rows match no word; this only spreads them."""
-    with np.errstate(over="ignore"):
-        return (row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
-
-def score_texts(docs: DataFrame, *, depth: int = DEPTH, min_share: float = MIN_SHARE, divergence: float = DIVERGENCE, alpha: float = ALPHA, folds: int = FOLDS, common: int = COMMON) -> DataFrame:
+def score_texts(docs: DataFrame, *, depth: int = DEPTH, least: int = LEAST, divergence: float = DIVERGENCE, alpha: float = ALPHA, folds: int = FOLDS, common: int = COMMON) -> DataFrame:
     """One row for each text: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    if not 1 <= depth <= 7:
+        raise ValueError(f"depth must be 1 to 7, not {depth}")
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -206,30 +195,27 @@ def score_texts(docs: DataFrame, *, depth: int = DEPTH, min_share: float = MIN_S
     ends = sums[1].n if 1 in sums else 0
     n_all = ends + (sums[0].n if 0 in sums else 0)
     v = (ends > 0) + (sums[0].v if 0 in sums else 0)
-    n_symbols = sums[2].n if 2 in sums else 0
-
-    lengths = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("ctx")) for k in range(depth + 1)]))
-    grams = counts.where("kind = 2").select(lengths.alias("c"), F.col("key").bitwiseAND(F.lit(255)).cast("int").alias("s"), "n")
-    grams = grams.groupBy("c.k", "c.ctx", "s").agg(F.sum("n").alias("n"))
-    # at most 1 / min_share contexts of each length, with 4 / min_share symbols in all
-    contexts = grams.groupBy("k", "ctx").agg(F.sum("n").alias("total"), F.collect_list(F.when(F.col("n") >= min_share / 4 * n_symbols, F.struct("s", "n"))).alias("f"))
-    contexts = contexts.where((F.col("k") == 0) | (F.col("total") >= min_share * n_symbols))
-    tree = Tree.learn([tuple(r) for r in contexts.collect()], depth, divergence, alpha)
-    words = counts.where("kind = 0").select(F.col("key").alias("h"), F.col("n").alias("c"))
-    least = max(1.0, n_all / common)  # no more than `common` words can be as frequent
-    top = words.where(F.col("c") >= least).toPandas().sort_values("h") if least > 1 else words.where("c >= 2").toPandas().sort_values("h")
-    sent = spark.sparkContext.broadcast((top["h"].to_numpy(np.int64), top["c"].to_numpy(np.int64)))
-    model = spark.sparkContext.broadcast(tree)
+
+    words = counts.where("kind = 0").select("key", "n")
+    grams = gram_scores(counts.where("kind = 2").select("key", "n"), depth, least, divergence, alpha)
+    top, best = frequent(words, common).toPandas().sort_values("key"), frequent(grams, common).toPandas().sort_values("key")  # at most `common` rows each
+    sent = spark.sparkContext.broadcast((top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64), best["key"].to_numpy(np.int64), best["score"].to_numpy(np.float64)))
+    del top, best
 
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    schema = f"_row bigint, h bigint, tf int, head boolean, doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
-    rows = numbered.mapInArrow(partial(_score, tree=model, common=sent, totals=(n_all, int(v), ends), depth=depth, folds=folds), schema)
-    joined = rows.join(words, "h", "left")
-    c = F.coalesce("c", F.lit(0))
-    own = F.when(F.col("head"), F.col("base")).otherwise(F.col("tf") * (F.log10(c + 0.1) - float(np.log10(n_all + 0.1 * (v + 1)))))
-    known = F.when(F.col("head"), F.col("n_known")).otherwise(F.when(c > 0, F.col("tf")).otherwise(0))
-    out = joined.groupBy("_row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum(known).alias("n_known"),
-        F.lit(n_all).cast("bigint").alias("train_tokens"), F.sum(own).alias("base_score"), F.max("score").alias("score"),
+    schema = f"_row bigint, kind tinyint, key bigint, tf int, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, doc_id {id_type}"
+    rows = numbered.mapInArrow(partial(_score, sent=sent, totals=(n_all, int(v), ends), depth=depth, folds=folds), schema)
+    rows = materialize(rows, "lm-rows")  # the rows' numbers hold from here on
+    log_all = float(np.log10(n_all + 0.1 * (v + 1)))
+    values = words.select(F.lit(0).cast("tinyint").alias("kind"), "key", (F.log10(F.col("n") + 0.1) - log_all).alias("value"), (F.col("n") > 0).alias("seen"))
+    values = values.unionByName(grams.select(F.lit(2).cast("tinyint").alias("kind"), "key", F.col("score").alias("value"), F.lit(False).alias("seen")))
+    rare = rows.where("kind >= 0").select("_row", "kind", "key", "tf").join(values, ["kind", "key"], "left")
+    unknown = F.coalesce("value", F.lit(float(np.log10(0.1)) - log_all))
+    rare = rare.select("_row", F.when(F.col("seen"), F.col("tf")).otherwise(0).cast("bigint").alias("n_known"), F.when(F.col("kind") == 0, F.col("tf") * unknown).otherwise(0.0).alias("base"), F.when(F.col("kind") == 2, F.col("tf") * F.col("value")).otherwise(0.0).alias("score"))
+    heads = rows.where("kind < 0").drop("kind", "key", "tf")
+    both = heads.unionByName(rare, allowMissingColumns=True)
+    out = both.groupBy("_row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
+        F.lit(n_all).cast("bigint").alias("train_tokens"), F.sum("base").alias("base_score"), F.sum("score").alias("score"),
     )
     return out.drop("_row")

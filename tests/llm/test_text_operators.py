@@ -2,7 +2,7 @@ import hashlib
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -185,23 +185,47 @@ def test_language_model(spark, edge_texts):
     assert abs(alone[0].score + 5 * math.log10(256)) < 1e-6 and alone[0].n_known == 0
 
 
-def test_tree_is_a_distribution():
-    text = [b"the cat sat on the mat", b"the dog", b"a the cat"] * 30
-    own = suffix_lm.Slice(text, 3)
-    counts = Counter(own.grams.tolist())
-    rows = []
-    for k in range(4):
-        level = Counter()
-        for g, n in counts.items():
-            level[(g >> 8) & ((1 << 8 * k) - 1), g & 255] += n
-        for ctx in {c for c, _ in level}:
-            follow = [(s, n) for (c, s), n in level.items() if c == ctx]
-            rows.append((k, ctx, sum(n for _, n in follow), [(s, n) for s, n in follow if n >= 2]))
-    tree = suffix_lm.Tree.learn(rows, 3, 0.02, 2.0)
-    assert any(len(x[0]) for x in tree.levels)
-    for ctx in (b"the", b"zzz", b"at ", b"\n\n\n"):
-        base = int.from_bytes(ctx, "big") << 8
-        assert abs((10 ** tree.score(np.arange(base, base + 256, dtype=np.uint64))).sum() - 1) < 1e-9
+def brute_tree(texts, train, depth=5, least=8, divergence=0.02, alpha=2.0):
+    """The tree's scores of all texts, by dictionaries."""
+    stream = lambda t: b"\n" * depth + b" ".join((t or "").encode().lower().split()) + b"\n"
+    counts = [defaultdict(Counter) for _ in range(depth + 1)]
+    for t in train:
+        x = stream(t)
+        for i in range(depth, len(x)):
+            for k in range(depth + 1):
+                counts[k][x[i - k : i]][x[i]] += 1
+    kept = set()
+    for k in range(1, depth + 1):
+        for ctx, own in counts[k].items():
+            n, up = sum(own.values()), counts[k - 1][ctx[1:]]
+            m = sum(up.values())
+            if n >= least and sum(c / n * math.log2((c / n) / (up[s] / m)) for s, c in own.items()) >= divergence:
+                kept |= {ctx[j:] for j in range(k)}
+
+    def p(ctx, s):
+        own = counts[len(ctx)].get(ctx, Counter())
+        if not ctx:
+            return (own[s] + alpha / 256) / (sum(own.values()) + alpha)
+        up = p(ctx[1:], s)
+        return (own[s] + alpha * up) / (sum(own.values()) + alpha) if ctx in kept else up
+
+    return [sum(math.log10(p(x[i - depth : i], x[i])) for i in range(depth, len(x))) for x in map(stream, texts)], kept, p
+
+
+@pytest.mark.parametrize(("common", "depth"), [(1_000_000, 5), (50, 5), (0, 3), (400, 7)])
+def test_tree_against_brute_force(spark, common, depth):
+    rng = np.random.default_rng(15)
+    words = ["the", "cat", "sat", "on", "mat", "Ähre", "x1", "dogma", "dog"]
+    texts = [(i, " ".join(rng.choice(words, int(rng.integers(0, 30))))) for i in range(120)] + [(200 + i, f"odd{i} zebra q{i}") for i in range(20)] + [(None, "the cat"), (300, None), (1, "the cat sat")]
+    train = [t for i, t in texts if i is None or zlib.crc32(str(i).encode()) % 10]
+    want, kept, p = brute_tree([t for _, t in texts], train, depth)
+    assert len(kept) > 30 and any(len(x) == depth for x in kept)
+    for ctx in (b"\n" * depth, b"e cat"[-depth:].rjust(depth, b"\n"), b"zzzzzzz"[:depth]):
+        assert abs(sum(p(ctx, s) for s in range(256)) - 1) < 1e-9
+    rows = suffix_lm.score_texts(make_docs(spark, texts), common=common, depth=depth).collect()
+    assert np.allclose(sorted(r.score for r in rows), sorted(want), atol=1e-6)
+    by_id = {r.doc_id: r.score for r in rows if r.doc_id != 1}
+    assert all(abs(by_id[i] - w) < 1e-6 for (i, _), w in zip(texts, want, strict=True) if i != 1)
 
 
 def test_quality(spark, edge_texts):
