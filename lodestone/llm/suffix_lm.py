@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.common import as_bytes, byte_slices, materialize
 
-DEPTH, LEAST, DIVERGENCE, ALPHA, FOLDS, COMMON = 5, 8, 0.02, 2.0, 10, 1_000_000
+DEPTH, LEAST, DIVERGENCE, ALPHA, FOLDS, COMMON = 5, 4, 0.02, 8.0, 10, 400_000
 END = 10  # a byte that no word holds
 
 

@@ -185,7 +185,7 @@ def test_language_model(spark, edge_texts):
     assert abs(alone[0].score + 5 * math.log10(256)) < 1e-6 and alone[0].n_known == 0
 
 
-def brute_tree(texts, train, depth=5, least=8, divergence=0.02, alpha=2.0):
+def brute_tree(texts, train, depth=5, least=4, divergence=0.02, alpha=8.0):
     """The tree's scores of all texts, by dictionaries."""
     stream = lambda t: b"\n" * depth + b" ".join((t or "").encode().lower().split()) + b"\n"
     counts = [defaultdict(Counter) for _ in range(depth + 1)]
