@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions.blocks import groups_of, list_rows, shared_counts
 from lodestone.llm.common import as_bytes, byte_slices, connected_components, materialize
 
 WORDS, BANDS, ROWS = 5, 20, 3
@@ -116,25 +117,6 @@ def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node bigint, s array<bigint>")
 
 
-def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The runs of rows with equal keys, from batches that are sorted by them; a run may go over batches."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        own = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys])
-        cuts = np.flatnonzero((own[1:] != own[:-1]).any(1)) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
-            if last is not None and (own[a] != last).any():
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = own[a]
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def sketch_forest(size: np.ndarray, sig: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Places (i, js) of candidate pairs that connect what all candidate pairs connect."""
     left = np.arange(len(size))
@@ -167,29 +149,6 @@ def candidate_forest(buckets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def shared_counts(sets: list[np.ndarray], n_left: int) -> np.ndarray:
-    """How many elements the first n_left sets share with the others (with all, if n_left is their number), by products of 0-1 matrices."""
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    flat = np.concatenate(sets)
-    names, code, many = np.unique(flat, return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    common = many > 1  # an element of one set is shared by none
-    rank = np.cumsum(common) - 1
-    keep = common[code]
-    row, code = row[keep], rank[code[keep]]
-    order = np.argsort(code, kind="stable")
-    row, code = row[order], code[order]
-    right = slice(0, None) if n_left == len(sets) else slice(n_left, None)
-    out = np.zeros((n_left, len(sets) - (right.start or 0)), np.float32)
-    width = 4096
-    for at in range(0, int(common.sum()), width):
-        lo, hi = np.searchsorted(code, [at, at + width])
-        some = np.zeros((len(sets), width), np.float32)
-        some[row[lo:hi], code[lo:hi] - at] = 1
-        out += some[:n_left] @ some[right].T
-    return out
-
-
 def exact_forest(part: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
     """Of the links (i, j) those that join parts which weren't joined yet."""
     up = {int(p): int(p) for p in set(part.tolist())}
@@ -227,7 +186,7 @@ def cluster_links(placed: DataFrame, sets: DataFrame) -> DataFrame:
             n_left = len(own) if inside else int((side == 0).sum())
             if not n_left or (not inside and n_left == len(own)):
                 continue
-            found = [np.asarray(x) for c in own.column("s").chunks for x in np.split(c.values.to_numpy()[c.offsets[0].as_py() : c.offsets[-1].as_py()], c.offsets.to_numpy()[1:-1] - c.offsets[0].as_py())]
+            found = list_rows(own.column("s"))
             size = np.fromiter(map(len, found), np.int64, len(found))
             shared = shared_counts(found, n_left)
             start = 0 if inside else n_left

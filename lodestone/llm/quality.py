@@ -71,9 +71,11 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         kind = _KIND[own].astype(np.uint64)
         first = np.r_[True, (kind[1:] != kind[:-1]) | (word[1:] != word[:-1])]
         at, w = np.flatnonzero(first), word[first]
-        rank = np.arange(len(at)) - np.searchsorted(w, w)
-        shape = np.bincount(w, np.where(rank < 10, (kind[at] + np.uint64(1)) * np.uint64(7) ** rank.astype(np.uint64).clip(0, 10), 0), len(sizes)) if len(sizes) else np.zeros(0)
-        codes.append((np.arange(len(sizes)), _hash(shape.astype(np.uint64), 0)))
+        opens = np.searchsorted(w, np.arange(len(sizes)))  # each word's first run
+        rank = np.arange(len(at)) - opens[w]
+        powers = np.cumprod(np.r_[np.uint64(1), np.full(int(rank.max(initial=0)), 0x100000001B3, np.uint64)])
+        shape = np.add.reduceat((kind[at] + np.uint64(1)) * powers[rank], opens) if len(sizes) else np.zeros(0, np.uint64)
+        codes.append((np.arange(len(sizes)), _hash(shape, 0)))
     word, code = np.concatenate([w for w, _ in codes]), np.concatenate([c for _, c in codes])
     order = np.argsort(word, kind="stable")
     return code[order], np.bincount(word, minlength=len(sizes))
