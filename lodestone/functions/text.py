@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType
+from pyspark.sql.types import LongType
 
 
 def slug(label: Column) -> Column:
@@ -40,11 +39,11 @@ def tokens(text: Column) -> Column:
 def chunks(text: Column, size: int, overlap: int) -> Column:
     """Stripped, non-empty windows; the last is the first that reaches the end. A size of 0 or less gives the whole text."""
     if size <= 0:
-        whole = F.trim(text)
+        whole = strip(text)
         return F.when(whole == "", F.array().cast("array<string>")).otherwise(F.array(whole))
     step = max(size - overlap, 1)
     last = F.greatest(F.lit(0), F.ceil((F.length(text) - size) / step)).cast("int")
-    own = F.transform(F.sequence(F.lit(0), last), lambda i: F.trim(F.regexp_replace(F.substring(text, i * step + 1, F.lit(size)), r"(?U)^\s+|\s+$", "")))
+    own = F.transform(F.sequence(F.lit(0), last), lambda i: strip(F.substring(text, i * step + 1, F.lit(size))))
     return F.filter(own, lambda x: x != "")
 
 
@@ -85,21 +84,37 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-@F.pandas_udf(StringType())
-def normal_url(urls: pd.Series) -> pd.Series:
-    """Lower-case scheme and host, no utm_ parameters, no trailing slash, no fragment."""
+def strip(text: Column) -> Column:
+    """Without white space of any script at both ends."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
-    def one(url: str | None) -> str | None:
-        if url is None:
-            return None
-        try:
-            parts = urlsplit(url.strip())
-        except ValueError:
-            return url.strip()
-        kept = [(k, v) for k, v in parse_qsl(parts.query, keep_blank_values=True) if not k.lower().startswith("utm_")]
-        return urlunsplit((parts.scheme.lower(), parts.netloc.lower(), parts.path.rstrip("/"), urlencode(kept), ""))
 
-    return urls.map(one)
+_URL = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(//[^/?#]*)?([^?#]*)(?:\?([^#]*))?"
+
+
+def _form_value(raw: Column) -> Column:
+    """A name or value of a query, decoded and encoded again; text that can't be decoded is encoded as it is."""
+    plain = F.coalesce(F.try_url_decode(raw), raw)
+    return F.replace(F.replace(F.url_encode(plain), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
+def normal_url(url: Column | str) -> Column:
+    """Lower-case scheme and host, no utm_ parameters, no trailing slash, no fragment; parameters are encoded anew.
+
+    A URL whose host has one of two brackets can't be parsed and is only stripped. Null stays null.
+    """
+    bare = strip(F.col(url) if isinstance(url, str) else url)
+    whole = F.regexp_replace(bare, r"[\t\r\n]", "")
+    part = lambda i: F.regexp_extract(whole, _URL, i)
+    scheme, host, path, query = part(1), part(2), part(3), part(4)
+    fields = F.filter(F.split(query, "&"), lambda x: x != "")
+    pairs = F.transform(fields, lambda x: F.struct(_form_value(F.substring_index(x, "=", 1)).alias("k"), _form_value(F.when(F.contains(x, F.lit("=")), F.substring(x, F.locate("=", x) + 1, F.length(x))).otherwise("")).alias("v")))
+    kept = F.filter(pairs, lambda x: ~F.startswith(F.lower(x["k"]), F.lit("utm_")))
+    asked = F.array_join(F.transform(kept, lambda x: F.concat(x["k"], F.lit("="), x["v"])), "&")
+    trimmed = F.regexp_replace(path, "/+$", "")
+    rooted = F.when((host != "") & (trimmed != "") & ~F.startswith(trimmed, F.lit("/")), F.concat(F.lit("/"), trimmed)).otherwise(trimmed)
+    out = F.concat(F.when(scheme != "", F.concat(F.lower(scheme), F.lit(":"))).otherwise(""), F.lower(host), rooted, F.when(asked != "", F.concat(F.lit("?"), asked)).otherwise(""))
+    return F.when(F.contains(host, F.lit("[")) != F.contains(host, F.lit("]")), bare).otherwise(out)
 
 
 def answer_form(text: Column) -> Column:

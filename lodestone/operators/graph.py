@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,28 @@ def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return live(nodes).select("id").join(sums, "id", "left").na.fill(0)
 
 
+def get(nodes: DataFrame, ids: DataFrame) -> DataFrame:
+    """The nodes of ids(id), merged ones too."""
+    return nodes.join(ids.select("id").distinct(), "id", "left_semi")
+
+
+def contains(nodes: DataFrame, ids: DataFrame) -> DataFrame:
+    """ids(id) with `known`."""
+    return ids.join(nodes.select("id", F.lit(True).alias("known")), "id", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+
+
+def parents(edges: DataFrame, ids: DataFrame, subconcept_only: bool = True) -> DataFrame:
+    """(id, parent) for ids(id)."""
+    own = subconcepts(edges) if subconcept_only else edges
+    return own.select(F.col("child").alias("id"), "parent").join(ids.select("id").distinct(), "id", "left_semi").distinct()
+
+
+def children(edges: DataFrame, ids: DataFrame, subconcept_only: bool = True) -> DataFrame:
+    """(id, child) for ids(id)."""
+    own = subconcepts(edges) if subconcept_only else edges
+    return own.select(F.col("parent").alias("id"), "child").join(ids.select("id").distinct(), "id", "left_semi").distinct()
+
+
 def find(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """(label, id): live nodes whose label or alias equals a label in normal form; the last such node wins (by ord)."""
     names = live(nodes).select("id", "ord", F.explode(F.concat(F.array("label"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name"))
@@ -40,13 +64,13 @@ def insert_absent(nodes: DataFrame, new: DataFrame) -> DataFrame:
     return nodes.unionByName(fresh.join(names, "_key", "left_anti").drop("_key", "_rank"))
 
 
-def levels(nodes: DataFrame, edges: DataFrame, most: int = 1000) -> DataFrame:
+def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, level): the least distance from any root; 0 where none reaches. One join for each level, never all paths."""
     own = subconcepts(edges).select("parent", "child").join(live(nodes).select(F.col("id").alias("child")), "child")
     ids = live(nodes).select("id")
     front = durable(ids.join(own.select(F.col("child").alias("id")), "id", "left_anti").select("id", F.lit(0).alias("level")), "levels")
     seen = front
-    for k in range(1, most):
+    for k in itertools.count(1):
         step = own.join(front.select(F.col("id").alias("parent")), "parent").select(F.col("child").alias("id")).distinct()
         front = durable(step.join(seen.select("id"), "id", "left_anti").select("id", F.lit(k).alias("level")), "levels")
         if front.isEmpty():
@@ -55,13 +79,13 @@ def levels(nodes: DataFrame, edges: DataFrame, most: int = 1000) -> DataFrame:
     return ids.join(seen, "id", "left").select("id", F.coalesce("level", F.lit(0)).alias("level"))
 
 
-def ancestor_paths(nodes: DataFrame, edges: DataFrame, most: int = 1000) -> DataFrame:
+def ancestor_paths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, path): the labels of the shortest path from a root, the smallest of equals."""
     own = subconcepts(edges).select("parent", "child")
     named = live(nodes).select("id", "label")
     front = durable(named.join(own.select(F.col("child").alias("id")), "id", "left_anti").select("id", F.array("label").alias("path")), "paths")
     seen = front
-    for _ in range(most):
+    while True:
         step = own.join(front.select(F.col("id").alias("parent"), "path"), "parent").select(F.col("child").alias("id"), "path")
         step = step.join(seen.select("id"), "id", "left_anti").groupBy("id").agg(F.min("path").alias("path")).join(named, "id")
         front = durable(step.select("id", F.concat("path", F.array("label")).alias("path")), "paths")
@@ -71,16 +95,15 @@ def ancestor_paths(nodes: DataFrame, edges: DataFrame, most: int = 1000) -> Data
     return seen
 
 
-def closure(edges: DataFrame, most: int = 1000) -> DataFrame:
-    """(id, ancestor): all ancestors, found by joining only what the last round added."""
-    own = subconcepts(edges).select(F.col("child").alias("id"), F.col("parent").alias("ancestor")).distinct()
-    front = durable(own, "closure")
-    seen, up = front, front.select(F.col("id").alias("via"), F.col("ancestor").alias("above"))
-    for _ in range(most):
+def closure(edges: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """(id, ancestor): all ancestors of all nodes, or of ids(id), found by joining only what the last round added."""
+    up = subconcepts(edges).select(F.col("child").alias("via"), F.col("parent").alias("above")).distinct()
+    own = up.select(F.col("via").alias("id"), F.col("above").alias("ancestor"))
+    front = durable(own if ids is None else own.join(ids.select("id").distinct(), "id", "left_semi"), "closure")
+    seen = front
+    while not front.isEmpty():
         step = front.join(up, front["ancestor"] == up["via"]).select("id", F.col("above").alias("ancestor")).distinct()
         front = durable(step.join(seen, ["id", "ancestor"], "left_anti"), "closure")
-        if front.isEmpty():
-            break
         seen = seen.unionByName(front)
     return seen
 
@@ -95,7 +118,9 @@ def add_edges(edges: DataFrame, new: DataFrame, nodes: DataFrame) -> tuple[DataF
     known = new.join(ids.select(F.col("id").alias("parent")), "parent", "left_semi").join(ids.select(F.col("id").alias("child")), "child", "left_semi")
     unknown = new.join(known.select("parent", "child"), ["parent", "child"], "left_anti").withColumn("reason", F.lit("unknown_node"))
     columns = ["parent", "child", "relation", "confidence"]
-    above = closure(edges.select(columns).unionByName(known.select(columns)))
+    # only from the ends of the additions upwards
+    ends = known.where("relation = 'is_subconcept'").select(F.col("parent").alias("id"))
+    above = closure(edges.select(columns).unionByName(known.select(columns)), ends)
     loops = above.select(F.col("id").alias("parent"), F.col("ancestor").alias("child"))
     bad = known.where("relation = 'is_subconcept'").join(loops, ["parent", "child"], "left_semi").unionByName(known.where("relation = 'is_subconcept' and parent = child")).distinct()
     good = known.join(bad.select("parent", "child"), ["parent", "child"], "left_anti")
@@ -143,6 +168,26 @@ def dot_lines(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return own.unionByName(edges.select(F.format_string('"%s" -> "%s" [style=%s];', "parent", "child", style).alias("line")))
 
 
+def json_lines(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(part, line): live nodes and all edges as JSON objects with all their columns."""
+    whole = {"ignoreNullFields": "false"}
+    own = live(nodes).select(F.lit("node").alias("part"), F.to_json(F.struct(*nodes.columns), whole).alias("line"))
+    return own.unionByName(edges.select(F.lit("edge").alias("part"), F.to_json(F.struct(*edges.columns), whole).alias("line")))
+
+
+def drawn(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, size, colour, border): how a drawing shows a live node: 8 and 3 for each child, one of seven colours by level, a thick border if atomic."""
+    own = degrees(nodes, edges).select("id", (8 + 3 * F.col("n_children")).alias("size"))
+    return live(nodes).select("id", "level", "status").join(own, "id").select("id", "size", F.least("level", F.lit(6)).alias("colour"), (F.col("status") == "atomic").alias("border"))
+
+
+def review(flags: DataFrame, queue: str = "all") -> DataFrame:
+    """The flags of a queue: all, or parents (nodes with too many parents, and levels out of order)."""
+    if queue not in ("all", "parents"):
+        raise ValueError(f"queue must be all or parents, not {queue!r}")
+    return flags if queue == "all" else flags.where(F.col("kind").isin("max_parents_exceeded", "level_soft_violation"))
+
+
 def card_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """One row for each level: nodes, atomic nodes, described nodes, nodes with materials, edges that end there."""
     into = edges.groupBy(F.col("child").alias("id")).agg(F.count("*").alias("n_in"))

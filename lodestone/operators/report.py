@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.functions.blocks import groups_of, list_rows, shared_counts
 from lodestone.functions.text import word_ngrams
+from lodestone.plans.durable import durable
 
 RESULTS = ("pass", "fail", "sft_only", "unverified")
 
@@ -22,16 +28,37 @@ def long_tail(nodes: DataFrame, tasks: DataFrame) -> DataFrame:
     return coverage(nodes, tasks).agg(F.coalesce(F.sum("n_atomic_unsampled") / F.nullif(F.sum("n_atomic"), F.lit(0)), F.lit(0.0)).alias("long_tail_ratio"))
 
 
-def jaccard_mean(tasks: DataFrame, n: int = 3) -> DataFrame:
-    """The mean Jaccard similarity of the questions' n-grams over all pairs of tasks.
+def jaccard_mean(tasks: DataFrame, n: int = 3, *, chunk: int = 2048) -> DataFrame:
+    """The mean Jaccard similarity of the questions' n-grams over all pairs of tasks; no sample is taken.
 
-    Pairs without a common n-gram add 0, so only pairs that share one are formed, by a join on the n-gram; no sample is taken.
+    Equal sets of n-grams are one row with a weight. The others are dealt into chunks; each pair of chunks is one task, which returns one
+    number, so nothing grows with a common n-gram. Work is the square of the distinct questions.
     """
-    grams = tasks.select("task_id", word_ngrams(F.col("question"), n).alias("g")).withColumn("size", F.size("g"))
-    one = grams.select(F.col("task_id").alias("a"), F.col("size").alias("na"), F.explode("g").alias("w"))
-    two = one.select(F.col("a").alias("b"), F.col("na").alias("nb"), "w")
-    shared = one.join(two, "w").where("a < b").groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("c"))
-    total = shared.agg(F.coalesce(F.sum(F.col("c") / (F.col("na") + F.col("nb") - F.col("c"))), F.lit(0.0)).alias("s"))
+    grams = tasks.select(F.array_sort(F.transform(word_ngrams(F.col("question"), n), lambda x: F.xxhash64(x))).alias("g"))
+    sets = durable(grams.where(F.size("g") > 0).groupBy("g").agg(F.count("*").alias("w")).withColumn("k", F.monotonically_increasing_id()), "gram-sets")
+    chunks = max(1, -(-sets.count() // chunk))
+    rows = sets.withColumn("c", F.pmod(F.xxhash64("k"), F.lit(chunks))).select("g", "w", "c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("d"))
+    rows = rows.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), (F.col("c") > F.col("d")).cast("int").alias("side"), "g", "w")
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0.0
+        for own in groups_of(batches, ["a", "b"]):
+            found, w, side = list_rows(own.column("g")), own.column("w").to_numpy().astype(float), own.column("side").to_numpy()
+            inside = own.column("a")[0].as_py() == own.column("b")[0].as_py()
+            left = len(own) if inside else int((side == 0).sum())
+            if not inside and left in (0, len(own)):
+                continue
+            size = np.fromiter(map(len, found), float, len(found))
+            start = 0 if inside else left
+            shared = shared_counts(found, left).astype(float)
+            similar = shared / (size[:left, None] + size[start:] - shared)
+            if inside:
+                np.fill_diagonal(similar, 0)
+            total += w[:left] @ similar @ w[start:] / (2 if inside else 1)
+        yield pa.RecordBatch.from_arrays([pa.array([total])], names=["s"])
+
+    dealt = rows.repartition(chunks * (chunks + 1) // 2, "a", "b").sortWithinPartitions("a", "b", "side")
+    total = dealt.mapInArrow(sums, "s double").unionByName(sets.select((F.col("w") * (F.col("w") - 1) / 2).alias("s"))).agg(F.coalesce(F.sum("s"), F.lit(0.0)).alias("s"))
     pairs = tasks.agg((F.count("*") * (F.count("*") - 1) / 2).alias("p"))
     return total.crossJoin(pairs).select(F.round(F.coalesce(F.col("s") / F.nullif("p", F.lit(0.0)), F.lit(0.0)), 6).alias("jaccard_mean"))
 
@@ -80,3 +107,22 @@ def budget(calls: DataFrame, max_calls: int, max_cost: float, group: str = "run"
     miss = F.when(~F.col("hit"), 1).otherwise(0)
     own = own.withColumn("spent", F.coalesce(F.sum(miss * F.col("cost")).over(before), F.lit(0.0))).withColumn("made", F.coalesce(F.sum(miss).over(before), F.lit(0)))
     return own.withColumn("allowed", F.col("hit") | ((F.col("made") < max_calls) & (F.col("spent") < max_cost)))
+
+
+def report_text(found: dict) -> str:
+    """A report's parts (lists of rows) in Markdown."""
+    lines = ["# Run report", ""] + ([f"Run {found['run_id']}", ""] if found.get("run_id") else [])
+
+    def table(title: str, columns: list[str], rows: list[dict]) -> None:
+        lines.extend([f"## {title}", "", "| " + " | ".join(columns) + " |", "|" + "---|" * len(columns)])
+        lines.extend("| " + " | ".join(f"{r[c]:.4f}" if isinstance(r[c], float) else "all" if r[c] is None else str(r[c]) for c in columns) + " |" for r in rows)
+        lines.append("")
+
+    table("Coverage", ["level", "n_nodes", "n_sampled", "n_atomic", "n_atomic_unsampled"], sorted(found["coverage"], key=lambda r: r["level"]))
+    lines += [f"Atomic nodes that were never sampled: {found['long_tail'][0]['long_tail_ratio']:.3f} of all atomic ones.", ""]
+    lines += ["## Repetition", "", f"Mean similarity of questions: {found['similarity'][0]['jaccard_mean']:.4f}. Materials in more than one task: {found['reuse'][0]['reuse_rate']:.3f}.", ""]
+    table("Task types by level", ["task_type", "level", "n"], sorted(found["diversity"], key=lambda r: (r["task_type"], r["level"])))
+    table("Results", ["task_type", *[f"n_{x}" for x in RESULTS]], sorted(found["quality"], key=lambda r: (r["task_type"] is not None, r["task_type"] or "")))
+    broken, every = sum(r["n"] for r in found["provenance"] if not r["ok"]), sum(r["n"] for r in found["provenance"])
+    lines += ["## Provenance", "", f"Tasks whose materials and nodes all exist: {(every - broken) / every if every else 1:.3f}; others: {broken}.", ""]
+    return "\n".join(lines)

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from lodestone.functions.text import chunks, hamming, slug, tokens
+from lodestone.functions.blocks import BestMatches
+from lodestone.functions.text import chunks, hamming, normal_url, simhash64, strip, tokens
 from lodestone.plans.durable import durable
 
+#: Terms of queries that go to the tasks at once: some 50 MB.
+QUERY_TERMS = 1_000_000
+
 #: Licences of web materials that may be used.
 FREE = ("unknown", "cc-by", "cc0", "public-domain", "mit", "apache-2.0")
 
@@ -33,37 +42,82 @@ def norms(posted: DataFrame, idf: DataFrame, key: str = "chunk_id") -> DataFrame
     return posted.join(idf, "term").groupBy(key).agg(F.sqrt(F.sum(w * w)).alias("norm"))
 
 
-def tfidf_search(texts: DataFrame, queries: DataFrame, k: int, key: str = "chunk_id", digits: int = 6) -> DataFrame:
+def _best(docs: DataFrame, key: str, asked: DataFrame, k: int, digits: int) -> DataFrame:
+    """(qid, key, score, rank) from docs(key, ts array<struct<term,w>>, norm) and asked(qid, term, w) of unit length.
+
+    The queries go to the tasks in blocks of at most QUERY_TERMS terms, which is checked by counting; a task keeps the best k rows of
+    each query over all its rows, so what is shuffled is k rows a query and task, whatever the terms' frequencies.
+    """
+    sizes = durable(asked.groupBy("qid").agg(F.count("*").alias("n")), "query-sizes")
+    blocks = max(1, -(-(sizes.agg(F.sum("n")).first()[0] or 0) // QUERY_TERMS))
+    asked = durable(asked.withColumn("_block", F.pmod(F.xxhash64("qid"), F.lit(blocks))), "queries")
+    key_type, id_type = docs.schema[key].dataType, asked.schema["qid"].dataType
+    kinds = [to_arrow_type(id_type), to_arrow_type(key_type), pa.float64()]
+    out = None
+    for block in range(blocks):
+        own = asked.where(F.col("_block") == block).select("qid", "term", "w").toPandas()  # about QUERY_TERMS rows
+        qids, terms = sorted(own["qid"].unique().tolist()), {t: i for i, t in enumerate(sorted(own["term"].unique().tolist()))}
+        number = {x: i for i, x in enumerate(qids)}
+        queries = (own["qid"].map(number).to_numpy(np.int64), own["term"].map(terms).to_numpy(np.int64), own["w"].to_numpy(np.float64))
+        sent = docs.sparkSession.sparkContext.broadcast((queries, len(qids), terms))
+
+        def match(batches: Iterator[pa.RecordBatch], sent=sent, qids=qids) -> Iterator[pa.RecordBatch]:
+            queries, n, known = sent.value
+            best = BestMatches(queries, n, len(known), k, digits)
+            for batch in batches:
+                keys, ts, ws = [], [], []
+                for x, row in zip(batch.column(key).to_pylist(), batch.column("ts").to_pylist(), strict=True):
+                    pairs = [(known[r["term"]], r["w"]) for r in row if r["term"] in known]
+                    keys.append(x)
+                    ts.append(np.array([p[0] for p in pairs], np.int64))
+                    ws.append(np.array([p[1] for p in pairs], np.float64))
+                if keys and n:
+                    best.show(keys, ts, ws, batch.column("norm").to_numpy())
+            q, keys, scores = best.found()
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(([qids[i] for i in q], keys, scores), kinds, strict=True)], names=["qid", key, "score"])
+
+        found = docs.select(key, "ts", "norm").mapInArrow(match, f"qid {id_type.simpleString()}, {key} {key_type.simpleString()}, score double")
+        out = found if out is None else out.unionByName(found)
+    rank = Window.partitionBy("qid").orderBy(F.desc("score"), key)
+    return out.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
+
+
+def tfidf_search(texts: DataFrame, queries: DataFrame, k: int, key: str = "chunk_id", digits: int = 9) -> DataFrame:
     """(qid, key, score, rank): the k best texts for each query (qid, text) by cosine; ties go to the smaller key.
 
-    Only postings of query terms meet the queries; norms need all postings of the texts.
+    Scores that agree in `digits` digits are ties, as sums of the same terms may differ beyond. Only postings of query terms are gathered, a
+    row for each text; norms need all postings of the texts.
     """
     posted = durable(postings(texts, key), "postings")  # used three times
     idf = durable(inverse_frequencies(posted, texts.count()), "idf")
     asked = queries.select("qid", F.explode(tokens(F.col("text"))).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("c"))
-    asked = asked.join(idf.select("term", "idf"), "term", "left").withColumn("qw", (1 + F.log("c")) * F.coalesce("idf", F.lit(0.0)))
-    length = asked.groupBy("qid").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
-    dots = asked.where("qw > 0").join(posted, "term").groupBy("qid", key).agg(F.sum(F.col("qw") * (1 + F.log("tf")) * F.col("idf")).alias("dot"))
-    scored = dots.join(norms(posted, idf, key), key).join(length, "qid").select("qid", key, F.round(F.col("dot") / (F.col("qnorm") * F.col("norm")), digits).alias("score"))
-    best = Window.partitionBy("qid").orderBy(F.desc("score"), key)
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    asked = asked.join(idf.select("term", "idf"), "term", "left").withColumn("w", (1 + F.log("c")) * F.coalesce("idf", F.lit(0.0)))
+    length = asked.groupBy("qid").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("qnorm"))
+    asked = durable(asked.where("w > 0").join(length, "qid").select("qid", "term", (F.col("w") / F.col("qnorm")).alias("w")), "asked")
+    weighed = posted.join(asked.select("term").distinct(), "term", "left_semi").join(idf.select("term", "idf"), "term")
+    gathered = weighed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term", ((1 + F.log("tf")) * F.col("idf")).alias("w")))).alias("ts"))
+    return _best(gathered.join(norms(posted, idf, key), key), key, asked, k, digits)
 
 
 def query_shapes(targets: DataFrame) -> DataFrame:
-    """targets(label, path, source_type, others) to (label, source_type, queries); `others` are the further labels of a joint bundle."""
-    above = F.filter("path", lambda x: (F.trim(x) != "") & (F.lower(x) != F.lower("label")))
+    """targets(label, path, source_type, others) to (label, source_type, queries); `others` are the labels of a joint bundle, else empty."""
+    name = strip(F.col("label"))
+    above = F.filter(F.transform("path", strip), lambda x: (x != "") & (F.lower(x) != F.lower(name)))
     size = F.size(above)
     context = F.when(size > 2, F.slice(above, F.greatest(size - 1, F.lit(1)), 2)).otherwise(above)
     near = F.try_element_at(above, F.lit(-1))
-    spaced = lambda *x: F.concat_ws(" ", *x)
-    web = F.array(spaced(F.array_join(context, " "), "label"), spaced(F.array_join(context, " "), "label", F.lit("tutorial")), F.when(near.isNotNull(), F.concat("label", F.lit(" in "), near, F.lit(" guide"))))
-    whole = spaced(F.array_join(above, " "), "label")
-    topic = F.concat("label", F.lit(" topic:"), slug(F.coalesce(near, "label")))
-    quoted = F.concat(F.lit('"'), F.col("label"), F.lit('"'))
-    shapes = F.when(F.col("source_type") == "web", web).when(F.col("source_type") == "github", F.array(whole, topic)).when(F.col("source_type") == "arxiv", F.array(F.when(near.isNull(), quoted).otherwise(F.concat(quoted, F.lit(' "'), near, F.lit('"'))))).otherwise(F.array(whole))
-    joint = F.when(F.size("others") > 0, F.array(F.array_join(F.array_distinct(F.concat(F.array("label"), F.col("others"))), " AND "))).otherwise(F.array().cast("array<string>"))
-    own = F.array_distinct(F.transform(F.filter(F.concat(shapes, joint), lambda x: x.isNotNull()), lambda x: F.trim(x)))
-    return targets.select("label", "source_type", own.alias("queries"))
+    joined = lambda x: F.array_join(F.concat(x, F.array(name)), " ")
+    topic = F.array_join(F.filter(F.split(F.lower(F.coalesce(near, name)), r"(?U)\s+"), lambda x: x != ""), "-")
+    web = F.array(joined(context), F.concat(joined(context), F.lit(" tutorial")), F.when(near.isNotNull(), F.concat(name, F.lit(" in "), near, F.lit(" guide"))))
+    shapes = (
+        F.when(F.col("source_type") == "web", web)
+        .when(F.col("source_type") == "github", F.array(joined(above), F.concat(name, F.lit(" topic:"), topic)))
+        .when(F.col("source_type") == "arxiv", F.array(F.concat(F.lit('"'), joined(context), F.lit('"'))))
+        .otherwise(F.array(joined(above)))
+    )
+    group = F.array_join(F.array_distinct(F.filter(F.transform("others", strip), lambda x: x != "")), " AND ")
+    every = F.filter(F.concat(shapes, F.array(group)), lambda x: x.isNotNull() & (x != ""))
+    return targets.withColumn("queries", every).drop("path", "others")
 
 
 def licensed(materials: DataFrame, mode: str = "whitelist") -> DataFrame:
@@ -81,30 +135,79 @@ def first_of(materials: DataFrame, key: Column, order: str = "ord") -> DataFrame
 
 
 def near_pairs(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """(a, b, d) of ids with a < b of fingerprints (id, fp) within the radius: two such agree on one of radius + 1 bands."""
-    bands = radius + 1
-    edge = [64 * i // bands for i in range(bands + 1)]
-    part = [F.struct(F.lit(i).alias("i"), F.shiftrightunsigned("fp", edge[i]).bitwiseAND(F.lit((1 << (edge[i + 1] - edge[i])) - 1)).alias("v")) for i in range(bands)]
-    one = prints.groupBy("fp").agg(F.min("id").alias("id")).select("id", "fp", F.explode(F.array(*part)).alias("band"))
+    """(a, b, d) of ids with a < b of fingerprints (id, fp) within the radius; of equal fingerprints the smallest id stands for all.
+
+    The bits are cut into radius + 3 runs, of which at least three agree; each choice of three runs is a table with keys of some 32 bits.
+    """
+    runs = radius + 3
+    edge = [64 * i // runs for i in range(runs + 1)]
+    mask = [((1 << (edge[i + 1] - edge[i])) - 1) << edge[i] for i in range(runs)]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    tables = [signed(sum(mask[i] for i in own)) for own in combinations(range(runs), 3)]
+    band = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(m)).alias("v")) for i, m in enumerate(tables)])).alias("band")
+    one = prints.groupBy("fp").agg(F.min("id").alias("id")).select("id", "fp", band)
     other = one.select(F.col("id").alias("b"), F.col("fp").alias("g"), "band")
     near = one.select(F.col("id").alias("a"), "fp", "band").join(other, "band").where("a < b").where(hamming(F.col("fp"), F.col("g")) <= radius)
     return near.select("a", "b", hamming(F.col("fp"), F.col("g")).alias("d")).distinct()
 
 
-def keep_first_near(prints: DataFrame, radius: int = 3, rounds: int = 200) -> DataFrame:
-    """Ids that a pass in order of id keeps: those within the radius of no kept smaller id. Equal fingerprints have one candidate."""
+def keep_first_near(prints: DataFrame, radius: int = 3) -> DataFrame:
+    """Ids that a pass in order of id keeps: those within the radius of no kept smaller id. Equal fingerprints have one candidate.
+
+    Each round decides the smallest open id at least, and all that no open smaller id is near to; rounds go on until none is open.
+    """
     nodes = durable(prints.groupBy("fp").agg(F.min("id").alias("id")), "prints")
     edges = durable(near_pairs(nodes, radius), "pairs")
     open_, kept = nodes.select("id"), None
-    for _ in range(rounds):
+    while True:
         blocked = edges.join(open_.select(F.col("id").alias("a")), "a", "left_semi").join(open_.select(F.col("id").alias("b")), "b", "left_semi").select(F.col("b").alias("id")).distinct()
         now = durable(open_.join(blocked, "id", "left_anti"), "kept")
         kept = now if kept is None else kept.unionByName(now)
         gone = edges.join(now.select(F.col("id").alias("a")), "a", "left_semi").select(F.col("b").alias("id")).distinct()
         open_ = durable(open_.join(now, "id", "left_anti").join(gone, "id", "left_anti"), "open")
         if open_.isEmpty():
-            break
-    return kept
+            return kept
+
+
+def deduplicated(materials: DataFrame, mode: str = "simhash", *, by: str = "bundle_id", radius: int = 3) -> DataFrame:
+    """Materials (uri, path, material_id, title, text, snippet, ord) without duplicates inside each `by`, the first by ord kept.
+
+    url: by the normal form of the uri, else the path, else the id; simhash: by near fingerprints of title and text (else snippet); off or none: all.
+    """
+    if mode in ("off", "none"):
+        return materials
+    if mode == "url":
+        name = F.coalesce(normal_url("uri"), F.concat(F.lit("path:"), F.nullif("path", F.lit(""))), F.concat(F.lit("id:"), "material_id"))
+        return first_of(materials, F.struct(by, name), "ord")
+    if mode != "simhash":
+        raise ValueError(f"dedup must be url, simhash, off or none, not {mode!r}")
+    text = F.concat_ws(" ", "title", F.coalesce(F.nullif("text", F.lit("")), "snippet"))
+    prints = durable(materials.select(F.col(by).alias("_by"), "ord", simhash64(text).alias("fp")), "material-prints")
+    # a bundle's own place in the fingerprint's space: near pairs of other bundles are left out where they meet
+    ids = durable(prints.withColumn("id", F.struct("_by", "ord")), "material-ids")
+    kept = _keep_first_in_groups(ids, radius)
+    return materials.join(kept.select(F.col("id._by").alias(by), F.col("id.ord").alias("ord")), [by, "ord"], "left_semi")
+
+
+def _keep_first_in_groups(ids: DataFrame, radius: int) -> DataFrame:
+    """keep_first_near inside each group of id._by."""
+    near = durable(near_in_groups(ids, radius), "group-pairs")
+    open_, kept = ids.select("id"), None
+    while True:
+        blocked = near.join(open_.withColumnRenamed("id", "a"), "a", "left_semi").join(open_.withColumnRenamed("id", "b"), "b", "left_semi").select(F.col("b").alias("id")).distinct()
+        now = durable(open_.join(blocked, "id", "left_anti"), "group-kept")
+        kept = now if kept is None else kept.unionByName(now)
+        gone = near.join(now.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct()
+        open_ = durable(open_.join(now, "id", "left_anti").join(gone, "id", "left_anti"), "group-open")
+        if open_.isEmpty():
+            return kept
+
+
+def near_in_groups(ids: DataFrame, radius: int) -> DataFrame:
+    """(a, b) of ids with a < b of one group within the radius; a group is a bundle's materials, a few at most."""
+    other = ids.select(F.col("_by"), F.col("id").alias("b"), F.col("fp").alias("g"))
+    pairs = ids.select("_by", F.col("id").alias("a"), "fp").join(other, "_by").where("a < b")
+    return pairs.where(hamming(F.col("fp"), F.col("g")) <= radius).select("a", "b")
 
 
 def rerank(materials: DataFrame, description: Column) -> DataFrame:
@@ -122,11 +225,12 @@ def hashed_terms(texts: DataFrame, key: str, buckets: int = 256) -> DataFrame:
     return own.join(length, key).select(key, "bucket", (F.col("n") / F.col("len")).alias("w"))
 
 
-def recall(candidates: DataFrame, known: DataFrame, k: int = 8) -> DataFrame:
+def recall(candidates: DataFrame, known: DataFrame, k: int = 8, digits: int = 9) -> DataFrame:
     """(cand, id, sim, rank): the k known texts (id, text) nearest to each candidate (cand, text) by hashed-bag cosine."""
     a, b = hashed_terms(candidates, "cand"), hashed_terms(known, "id")
-    sims = a.join(b.withColumnRenamed("w", "v"), "bucket").groupBy("cand", "id").agg(F.round(F.sum(F.col("w") * F.col("v")), 6).alias("sim"))
-    return sims.withColumn("rank", F.row_number().over(Window.partitionBy("cand").orderBy(F.desc("sim"), "id"))).where(F.col("rank") <= k)
+    gathered = b.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.col("bucket").alias("term"), "w"))).alias("ts")).withColumn("norm", F.lit(1.0))
+    found = _best(gathered, "id", a.select(F.col("cand").alias("qid"), F.col("bucket").alias("term"), "w"), k, digits)
+    return found.select(F.col("qid").alias("cand"), "id", F.col("score").alias("sim"), "rank")
 
 
 def link_materials(bundles: DataFrame, materials: DataFrame) -> DataFrame:
@@ -144,5 +248,3 @@ def material_counts(nodes: DataFrame, materials: DataFrame, **judge) -> DataFram
     atomic = is_atomic(F.col("level"), F.col("n_materials"), F.col("synth_success_rate"), F.col("child_material_overlap"), **judge)
     now = F.when(F.col("_n").isNotNull() & ~F.col("status").isin("merged", "frozen") & atomic, "atomic").otherwise(F.col("status"))
     return out.withColumn("status", now).drop("_n")
-
-

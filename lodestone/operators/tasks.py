@@ -5,15 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.functions.text import answer_form
+from lodestone.functions.text import answer_form, strip
 
 #: Task type, least number of materials, verifier.
 TASK_TYPES = [("atomic_qa", 1, "answer_match"), ("aggregated_qa", 2, "answer_match"), ("multihop_qa", 2, "answer_match"), ("grounded_summary", 1, None), ("comparative_analysis", 2, None)]
 VERIFIERS = ("answer_match", "rubric_judge")
+_REGISTRY: dict[str, tuple[int, str | None]] = {name: (least, verifier) for name, least, verifier in TASK_TYPES}
+#: The answers of tasks about which there are too few materials.
+REJECT_ANSWERS = {
+    "zh": "根据现有检索到的材料，信息不足，无法可靠回答该问题。",
+    "en": "The retrieved materials do not contain enough information to answer this question reliably.",
+}
+
+
+def register_task_type(name: str, min_docs: int = 1, verifier: str | None = None) -> None:
+    _REGISTRY[name] = (min_docs, verifier)
+
+
+def get_task_type(name: str) -> tuple[int, str | None]:
+    """(least number of materials, verifier)"""
+    if name not in _REGISTRY:
+        raise ValueError(f"unknown task type {name!r}; known: {list_task_types()}")
+    return _REGISTRY[name]
+
+
+def list_task_types() -> list[str]:
+    return sorted(_REGISTRY)
 
 
 def task_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TASK_TYPES, "task_type string, min_docs int, verifier string")
+    return spark.createDataFrame([(k, *v) for k, v in _REGISTRY.items()], "task_type string, min_docs int, verifier string")
 
 
 def pick_type(intent: Column, key: Column, enabled: list[str], weights: dict[str, float] | None = None, seed: int = 42) -> Column:
@@ -37,6 +58,10 @@ def reject_task(labels: Column, language: Column) -> Column:
     return F.when(language == "zh", F.concat(F.lit("请介绍："), named, F.lit("。"))).otherwise(F.concat(F.lit("Explain: "), F.array_join(labels, ", "), F.lit(".")))
 
 
+def reject_answer(language: Column) -> Column:
+    return F.when(language == "zh", REJECT_ANSWERS["zh"]).otherwise(REJECT_ANSWERS["en"])
+
+
 def prompts(bundles: DataFrame, materials: DataFrame) -> DataFrame:
     """(bundle_id, prompt) from bundles(bundle_id, labels, paths, task_type, language) and materials(bundle_id, material_id, title, snippet, ord)."""
     lines = F.array_join(F.transform(F.arrays_zip("labels", "paths"), lambda x: F.concat(F.lit("- "), x["labels"], F.lit(" (path: "), F.array_join(x["paths"], " > "), F.lit(")"))), "\n")
@@ -80,13 +105,14 @@ def dispatch(verify_result: Column, verifier: Column, fallback: str = "rubric_ju
 def context_blocks(tasks: DataFrame, materials: DataFrame, budget: int = 4000, min_quality: float = 0.0) -> DataFrame:
     """(task_id, context): the cited materials in order, cut where their texts reach the budget, between a header and the question's mark."""
     cited = tasks.select("task_id", "language", F.posexplode("materials").alias("pos", "material_id"))
-    body = F.trim(F.coalesce(F.nullif(F.trim("text"), F.lit("")), "snippet"))
+    # a text of white space only is no reason to take the snippet
+    body = strip(F.coalesce(F.nullif("text", F.lit("")), "snippet"))
     own = cited.join(materials.where(F.col("quality_score") >= min_quality).select("material_id", "title", body.alias("body")), "material_id").where("body <> ''")
     before = F.coalesce(F.sum(F.length("body")).over(Window.partitionBy("task_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     own = own.withColumn("left", F.lit(budget) - before).where("left > 0")
-    block = F.concat(F.lit("["), F.col("material_id"), F.lit("] "), F.col("title"), F.lit("\n"), F.left(F.col("body"), F.col("left").cast("int")))
+    block = strip(F.concat(F.lit("["), F.col("material_id"), F.lit("] "), F.coalesce("title", F.lit("")), F.lit("\n"), F.left(F.col("body"), F.col("left").cast("int"))))
     blocks = own.groupBy("task_id").agg(F.array_sort(F.collect_list(F.struct("pos", block.alias("b")))).alias("bs"))
-    zh = F.startswith(F.coalesce("language", F.lit("")), F.lit("zh"))
+    zh = F.startswith(F.lower(F.coalesce("language", F.lit(""))), F.lit("zh"))
     text = F.concat(F.when(zh, "材料：").otherwise("Materials:"), F.lit("\n"), F.array_join(F.transform("bs", lambda x: x["b"]), "\n\n"), F.lit("\n\n"), F.when(zh, "问题：").otherwise("Question："))
     return tasks.join(blocks, "task_id", "left").select("task_id", F.when(F.col("bs").isNull(), "").otherwise(text).alias("context"))
 
@@ -125,3 +151,27 @@ def manifest(tasks: DataFrame, materials: DataFrame) -> DataFrame:
     """(kind, value, n): counts by task type, result and source type."""
     own = tasks.select(F.explode(F.array(F.struct(F.lit("task_type").alias("kind"), F.col("task_type").alias("value")), F.struct(F.lit("verify_result").alias("kind"), F.col("verify_result").alias("value")))).alias("x")).select("x.*")
     return own.unionByName(materials.select(F.lit("source_type").alias("kind"), F.col("source_type").alias("value"))).groupBy("kind", "value").agg(F.count("*").alias("n"))
+
+
+def lineage(tasks: DataFrame, bundles: DataFrame) -> DataFrame:
+    """(task_id, line): a JSON object for each task: its nodes and their paths, materials, verifier and result."""
+    own = tasks.join(bundles.select("bundle_id", "ancestor_paths"), "bundle_id", "left")
+    return own.select("task_id", F.to_json(F.struct("task_id", "task_type", "nodes", "ancestor_paths", F.col("materials").alias("material_ids"), "verifier", "verify_result"), {"ignoreNullFields": "false"}).alias("line"))
+
+
+def labels_of(tasks: DataFrame) -> DataFrame:
+    """(task_id, label): how a list shows a task."""
+    return tasks.select("task_id", F.concat("task_id", F.lit(" ["), "task_type", F.lit("/"), "verify_result", F.lit("] "), F.left("question", F.lit(36))).alias("label"))
+
+
+def detail(tasks: DataFrame) -> DataFrame:
+    """(task_id, text, provenance): a task in Markdown, and where it comes from as JSON."""
+    points = F.array_join(F.transform("rubric", lambda x: F.concat(F.lit("- "), x)), "\n")
+    text = F.concat(F.lit("### "), "task_type", F.lit(" · "), "verify_result", F.lit("\n\n**Q** "), "question", F.lit("\n\n**A** "), "answer", F.lit("\n\n**rubric**\n"), points)
+    return tasks.select("task_id", text.alias("text"), F.to_json(F.struct("task_id", "verifier", "materials", "nodes"), {"ignoreNullFields": "false"}).alias("provenance"))
+
+
+def chosen(tasks: DataFrame, task_type: str = "all", result: str = "all") -> DataFrame:
+    for column, value in (("task_type", task_type), ("verify_result", result)):
+        tasks = tasks if value == "all" else tasks.where(F.col(column) == value)
+    return tasks

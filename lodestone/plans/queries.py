@@ -41,7 +41,7 @@ SELECT concat('m', doc_id) AS material_id, doc_id AS ord, CASE doc_id % 4 WHEN 0
     "tasks": """
 SELECT concat('t', u.conv_id, '-', u.turn) AS task_id, CASE u.conv_id % 5 WHEN 0 THEN 'atomic_qa' WHEN 1 THEN 'aggregated_qa' WHEN 2 THEN 'multihop_qa' WHEN 3 THEN 'grounded_summary' ELSE 'comparative_analysis' END AS task_type,
  u.conv_id % 3 AS level, CASE u.conv_id % 4 WHEN 0 THEN 'pass' WHEN 1 THEN 'fail' WHEN 2 THEN 'sft_only' ELSE 'pass' END AS verify_result, CASE u.conv_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 'answer_match' ELSE 'exact' END AS verifier,
- u.text AS question, concat(a.text, ' [M', u.conv_id % 50, ']') AS answer, CASE WHEN u.conv_id % 2 = 0 THEN 'zh-CN' ELSE 'en' END AS language,
+ u.text AS question, concat(a.text, ' [M', u.conv_id % 50, ']') AS answer, CASE u.conv_id % 3 WHEN 0 THEN 'zh-CN' WHEN 1 THEN 'ZH' ELSE 'en' END AS language,
  {array}(concat('m', u.conv_id % 50), concat('m', (u.conv_id * 7) % 1200), concat('m', u.turn)) AS materials, {array}(concat('n', u.conv_id % 30), concat('r', u.turn % 5)) AS nodes
 FROM {conversations} u JOIN {conversations} a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'""",
     "bundles": """
@@ -170,6 +170,41 @@ def card_history(s, d):
     return report.card_history(cards)
 
 
+@query("SELECT id, kind, other FROM (SELECT child AS id, 'parent' AS kind, parent AS other FROM kg_edges WHERE relation = 'is_subconcept' UNION ALL SELECT parent, 'child', child FROM kg_edges WHERE relation = 'is_subconcept' UNION ALL SELECT parent, 'any child', child FROM kg_edges)")
+def neighbours(s, d):
+    edges, ids = derived(s, d, "kg_edges"), derived(s, d, "kg_nodes").select("id")
+    parts = [("parent", graph.parents(edges, ids)), ("child", graph.children(edges, ids)), ("any child", graph.children(edges, ids, subconcept_only=False))]
+    rows = [f.select("id", F.lit(k).alias("kind"), F.col(f.columns[1]).alias("other")) for k, f in parts]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query("SELECT id, id IN (SELECT id FROM kg_nodes) AS known FROM (SELECT concat('n', c_custkey) AS id FROM customer)")
+def contains_node(s, d):
+    return graph.contains(derived(s, d, "kg_nodes"), table(s, d, "customer").select(F.concat(F.lit("n"), "c_custkey").alias("id")))
+
+
+@query("SELECT * FROM kg_nodes WHERE id IN (SELECT concat('n', c_custkey) FROM customer)")
+def get_nodes(s, d):
+    return graph.get(derived(s, d, "kg_nodes"), table(s, d, "customer").select(F.concat(F.lit("n"), "c_custkey").alias("id")))
+
+
+@query("""SELECT 'node' AS part, concat('{"id":"', id, '","label":"', label, '","level":', level, ',"status":"', status, '"}') AS line FROM part_nodes WHERE status <> 'merged'
+UNION ALL SELECT 'edge', concat('{"parent":"', parent, '","child":"', child, '","relation":"', relation, '"}') FROM part_edges""")
+def graph_json(s, d):
+    return graph.json_lines(derived(s, d, "part_nodes"), derived(s, d, "part_edges").drop("confidence"))
+
+
+@query("SELECT id, 8 + 3 * (SELECT count(*) FROM kg_edges WHERE parent = id AND relation = 'is_subconcept') AS size, least(level, 6) AS colour, status = 'atomic' AS border FROM kg_nodes WHERE status <> 'merged'")
+def graph_drawn(s, d):
+    return graph.drawn(derived(s, d, "kg_nodes"), derived(s, d, "kg_edges"))
+
+
+@query("SELECT event_id, event_type AS kind FROM events WHERE event_type IN ('max_parents_exceeded', 'level_soft_violation') UNION ALL SELECT o_orderkey, 'level_soft_violation' FROM orders WHERE o_orderstatus = 'F'")
+def review_queue(s, d):
+    flags = table(s, d, "events").select("event_id", F.col("event_type").alias("kind")).unionByName(table(s, d, "orders").select(F.col("o_orderkey").alias("event_id"), F.when(F.col("o_orderstatus") == "F", "level_soft_violation").otherwise("cycle_prevented").alias("kind")))
+    return graph.review(flags, "parents")
+
+
 # sampling
 
 
@@ -191,9 +226,10 @@ def joint_pool(s, d):
     return sampling.joint_pool(derived(s, d, "kg_nodes"), derived(s, d, "kg_edges")).select(F.array_join("members", "|").alias("members"))
 
 
-@query("SELECT 'breadth' AS intent, CAST(3 AS BIGINT) AS n UNION ALL SELECT 'depth', 6 UNION ALL SELECT 'joint', 3")
+@query("SELECT event_id, CAST(floor(n * a / t) AS BIGINT) AS breadth, CAST(floor(n * b / t) AS BIGINT) AS depth, CAST(n - floor(n * a / t) - floor(n * b / t) AS BIGINT) AS joint FROM (SELECT *, CASE WHEN a + b + c > 0 THEN a + b + c ELSE 1e0 END AS t FROM (SELECT event_id, user_id AS n, greatest(0e0, value - 20) AS a, greatest(0e0, 40 - value) AS b, greatest(0e0, value - 50) AS c FROM events))")
 def split_quota(s, d):
-    return s.createDataFrame(list(sampling.split_quota(12, 0.25, 0.5, 0.25).items()), "intent string, n bigint")
+    v = F.col("value")
+    return table(s, d, "events").select("event_id", sampling.split_columns(F.col("user_id"), v - 20, 40 - v, v - 50).alias("q")).select("event_id", "q.*")
 
 
 @query("SELECT user_id, round(1 / (1 + 0.5 * count(*)), 6) AS weight FROM events GROUP BY user_id")
@@ -224,11 +260,9 @@ def joint_draw(s, d):
     return sampling.draw_groups(sampling.joint_pool(nodes, edges, 3), sampled, 40, seed=7, cap=2).select(F.array_join("members", "|").alias("members"))
 
 
-@query("WITH q AS (SELECT o_orderkey AS id, o_custkey % 7 AS seed, length(o_orderpriority) AS level, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS seq FROM orders), t AS (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY level DESC, seq) AS t, min(seq) OVER (PARTITION BY seed) AS b FROM q) SELECT id, row_number() OVER (ORDER BY t, b) AS pos FROM t")
+@query("WITH q AS (SELECT o_orderkey AS id, o_custkey % 7 AS seed, length(o_orderpriority) AS level, o_orderkey AS seq FROM orders), t AS (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY level DESC, seq) AS t, min(seq) OVER (PARTITION BY seed) AS b FROM q) SELECT id, row_number() OVER (ORDER BY t, b) AS pos FROM t")
 def frontier_order(s, d):
-    from pyspark.sql import Window
-
-    q = table(s, d, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 7).alias("seed"), F.length("o_orderpriority").alias("level"), F.row_number().over(Window.orderBy("o_orderdate", "o_orderkey")).alias("seq"))
+    q = table(s, d, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 7).alias("seed"), F.length("o_orderpriority").alias("level"), F.col("o_orderkey").alias("seq"))
     return sampling.frontier_order(q, "balanced").select("id", F.col("pos").cast("long").alias("pos"))
 
 
@@ -267,18 +301,25 @@ def chunk_norms(s, d):
     return retrieval.norms(posted, retrieval.inverse_frequencies(posted, docs.count()), "doc_id").withColumn("norm", F.round("norm", 6))
 
 
-@query(_POSTED + ", q AS (SELECT qid, term, count(*) AS c FROM (SELECT item_id AS qid, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM benchmark) GROUP BY ALL), qw AS (SELECT qid, term, (1 + ln(c)) * coalesce(idf, 0) AS w FROM q LEFT JOIN idf USING (term)), qn AS (SELECT qid, sqrt(sum(w * w)) AS qnorm FROM qw GROUP BY qid), sc AS (SELECT qid, doc_id, round(sum(w * (1 + ln(tf)) * idf) / (any_value(qnorm) * any_value(norm)), 6) AS score FROM qw JOIN tf USING (term) JOIN idf USING (term) JOIN nm USING (doc_id) JOIN qn USING (qid) GROUP BY qid, doc_id) SELECT qid, doc_id, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM sc) WHERE rank <= 8")
+@query(_POSTED + ", q AS (SELECT qid, term, count(*) AS c FROM (SELECT item_id AS qid, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM benchmark) GROUP BY ALL), qw AS (SELECT qid, term, (1 + ln(c)) * coalesce(idf, 0) AS w FROM q LEFT JOIN idf USING (term)), qn AS (SELECT qid, sqrt(sum(w * w)) AS qnorm FROM qw GROUP BY qid), sc AS (SELECT qid, doc_id, round(sum(w * (1 + ln(tf)) * idf) / (any_value(qnorm) * any_value(norm)), 9) AS score FROM qw JOIN tf USING (term) JOIN idf USING (term) JOIN nm USING (doc_id) JOIN qn USING (qid) GROUP BY qid, doc_id) SELECT qid, doc_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM sc) WHERE rank <= 8")
 def tfidf_topk(s, d):
-    return retrieval.tfidf_search(table(s, d, "documents"), table(s, d, "benchmark").select(F.col("item_id").alias("qid"), "text"), 8, "doc_id")
+    return retrieval.tfidf_search(table(s, d, "documents"), table(s, d, "benchmark").select(F.col("item_id").alias("qid"), "text"), 8, "doc_id").withColumn("score", F.round("score", 6))
 
 
-@query("SELECT n_name AS label, 'web' AS source_type, concat(r_name, ' ', n_name, '|', r_name, ' ', n_name, ' tutorial|', n_name, ' in ', r_name, ' guide') AS queries FROM nation JOIN region ON r_regionkey = n_regionkey UNION ALL SELECT n_name, 'local', concat(r_name, ' ', n_name, '|', n_name, ' AND x') FROM nation JOIN region ON r_regionkey = n_regionkey")
+@query("""WITH t AS (SELECT n_name AS label, r_name AS top FROM nation JOIN region ON r_regionkey = n_regionkey)
+SELECT label, 'web' AS source_type, concat(top, ' deep one ', label, '|', top, ' deep one ', label, ' tutorial|', label, ' in deep one guide') AS queries FROM (SELECT label, 'x' AS top FROM t)
+UNION ALL SELECT label, 'github', concat('root ', top, ' ', label, '|', label, ' topic:', lower(replace(top, ' ', '-'))) FROM t
+UNION ALL SELECT label, 'github', concat(label, '|', label, ' topic:', lower(replace(label, ' ', '-'))) FROM t
+UNION ALL SELECT label, 'arxiv', concat('"root ', top, ' ', label, '"') FROM t
+UNION ALL SELECT label, 'local', concat('root ', top, ' ', label, '|', label, ' AND x') FROM t""")
 def query_shapes(s, d):
     own = table(s, d, "nation").join(table(s, d, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
-    own = own.select(F.col("n_name").alias("label"), F.array("r_name", F.lit(" "), F.lower("n_name")).alias("path"))
+    own = own.select(F.col("n_name").alias("label"), F.array(F.lit(" root"), "r_name", F.lit(" "), F.lower("n_name")).alias("path"))
     none = F.array().cast("array<string>")
-    own = own.select("label", "path", F.lit("web").alias("source_type"), none.alias("others")).unionByName(own.select("label", "path", F.lit("local").alias("source_type"), F.array(F.lit("x")).alias("others")))
-    return retrieval.query_shapes(own).withColumn("queries", F.array_join("queries", "|"))
+    shape = lambda source, path=F.col("path"), others=none: own.select("label", path.alias("path"), F.lit(source).alias("source_type"), others.alias("others"))
+    every = shape("web", F.array(F.lit("top"), F.lit("x"), F.lit("deep one"))).unionByName(shape("github")).unionByName(shape("github", none)).unionByName(shape("arxiv"))
+    every = every.unionByName(shape("local", others=F.array("label", F.lit(" x "), F.lit(""), F.lit("x"))))
+    return retrieval.query_shapes(every).withColumn("queries", F.array_join("queries", "|"))
 
 
 @query("SELECT material_id FROM materials WHERE source_type <> 'web' OR coalesce(nullif(lower(license), ''), 'unknown') IN ('unknown', 'cc-by', 'cc0', 'public-domain', 'mit', 'apache-2.0')")
@@ -286,21 +327,18 @@ def license_filter(s, d):
     return retrieval.licensed(derived(s, d, "materials")).select("material_id")
 
 
-@query("SELECT min(page_id) AS page_id, k AS url FROM (SELECT page_id, regexp_replace(regexp_replace(url, '#.*$', ''), '/$', '') AS k FROM pages WHERE url NOT LIKE '%utm_%' AND regexp_matches(url, '^https://[a-z0-9.]+(/[A-Za-z0-9/_-]*)?(#.*)?$')) GROUP BY k")
-def url_dedup(s, d):
-    pages = table(s, d, "pages").where("url not like '%utm_%'").where(F.col("url").rlike("^https://[a-z0-9.]+(/[A-Za-z0-9/_-]*)?(#.*)?$"))
-    own = pages.select("page_id", T.normal_url("url").alias("url"))
-    return retrieval.first_of(own, F.col("url"), "page_id")
+_NORMAL = r"""WITH u AS (SELECT page_id, regexp_extract(trim(url), '^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(//[^/?#]*)?([^?#]*)(?:\?([^#]*))?', ['scheme', 'host', 'path', 'query']) AS m FROM pages),
+n AS (SELECT page_id, concat(CASE WHEN m.scheme <> '' THEN concat(lower(m.scheme), ':') ELSE '' END, lower(m.host), rtrim(m.path, '/'), CASE WHEN q <> '' THEN concat('?', q) ELSE '' END) AS url
+ FROM (SELECT page_id, m, array_to_string(list_transform(list_filter(string_split(m.query, '&'), lambda x: x <> '' AND NOT starts_with(lower(x), 'utm_')), lambda x: CASE WHEN contains(x, '=') THEN x ELSE concat(x, '=') END), '&') AS q FROM u)) """
 
 
-@query()
-def url_dedup_whole(s, d):
-    """All pages; SQL can't express the normal form."""
+@query(_NORMAL + "SELECT min(page_id) AS page_id, url FROM n GROUP BY url")
+def url_dedup(s, d):
     own = table(s, d, "pages").select("page_id", T.normal_url("url").alias("url"))
     return retrieval.first_of(own, F.col("url"), "page_id")
 
 
-@query()
+@query(_NORMAL + "SELECT page_id, url FROM n")
 def url_normalize(s, d):
     return table(s, d, "pages").select("page_id", T.normal_url("url").alias("url"))
 
@@ -310,9 +348,13 @@ def simhash_values(s, d):
     return table(s, d, "documents").select("doc_id", T.simhash64("text").alias("fp"))
 
 
-@query("WITH p AS (SELECT vec_id AS id, list_sum([CASE WHEN embedding[i] > 0 THEN CAST(1 AS BIGINT) << (i - 1) ELSE 0 END for i in range(1, 31)]) AS fp FROM embeddings), f AS (SELECT min(id) AS id, fp FROM p GROUP BY fp) SELECT a.id AS a, b.id AS b, CAST(bit_count(xor(CAST(a.fp AS BIGINT), CAST(b.fp AS BIGINT))) AS INTEGER) AS d FROM f a JOIN f b ON a.id < b.id WHERE bit_count(xor(CAST(a.fp AS BIGINT), CAST(b.fp AS BIGINT))) <= 3")
+_SIGNS = "list_sum([CASE WHEN embedding[i] > 0 THEN CAST(1 AS BIGINT) << (i - {0}) ELSE 0 END for i in range({0}, {0} + 32)])"
+
+
+@query(f"WITH p AS (SELECT vec_id AS id, {_SIGNS.format(1)} AS lo, {_SIGNS.format(33)} AS hi FROM embeddings), f AS (SELECT min(id) AS id, lo, hi FROM p GROUP BY lo, hi), e AS (SELECT a.id AS a, b.id AS b, bit_count(xor(CAST(a.lo AS BIGINT), CAST(b.lo AS BIGINT))) + bit_count(xor(CAST(a.hi AS BIGINT), CAST(b.hi AS BIGINT))) AS d FROM f a JOIN f b ON a.id < b.id) SELECT a, b, CAST(d AS INTEGER) AS d FROM e WHERE d <= 3")
 def hamming_pairs(s, d):
-    bits = F.aggregate(F.transform(F.slice("embedding", 1, 30), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a + x)
+    """The signs of all 64 components."""
+    bits = F.aggregate(F.transform("embedding", lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
     return retrieval.near_pairs(table(s, d, "embeddings").select(F.col("vec_id").alias("id"), bits.alias("fp")))
 
 
@@ -322,24 +364,17 @@ def simhash_dedup(s, d):
     return retrieval.keep_first_near(prints)
 
 
-@query("SELECT m.material_id, round(len(list_intersect(list_distinct(regexp_extract_all(lower(concat_ws(' ', m.title, m.snippet, m.text)), '[a-z0-9]+')), q)) / len(q), 6) AS score FROM materials m, (SELECT list_distinct(regexp_extract_all(lower(string_agg(text, ' ' ORDER BY item_id)), '[a-z0-9]+')) AS q FROM benchmark WHERE item_id < 3)")
-def rerank_overlap(s, d):
-    asked = table(s, d, "benchmark").where("item_id < 3").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "text"))), lambda x: x["text"]), " ").alias("asked"))
-    own = derived(s, d, "materials").crossJoin(F.broadcast(asked))  # one row
-    return retrieval.rerank(own, F.col("asked")).select("material_id", F.round("score", 6).alias("score"))
-
-
 @query("SELECT m.material_id, round(len(list_intersect(list_distinct(regexp_extract_all(lower(concat_ws(' ', m.title, m.snippet, m.text)), '[a-z0-9]+')), q)) / len(q), 6) AS score FROM materials m, (SELECT list_distinct(regexp_extract_all(lower(string_agg(text, ' ' ORDER BY item_id)), '[a-z0-9]+')) AS q FROM benchmark)")
-def rerank_overlap_whole(s, d):
+def rerank_overlap(s, d):
     """The whole benchmark as the description."""
     asked = table(s, d, "benchmark").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "text"))), lambda x: x["text"]), " ").alias("asked"))
     own = derived(s, d, "materials").crossJoin(F.broadcast(asked))  # one row
     return retrieval.rerank(own, F.col("asked")).select("material_id", F.round("score", 6).alias("score"))
 
 
-@query("WITH h AS (SELECT k, id, b, count(*) AS n FROM (SELECT k, id, CAST(concat('0x', substr(md5(t), 1, 8)) AS BIGINT) % 256 AS b FROM (SELECT 'c' AS k, concat('i', item_id) AS id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS t FROM benchmark UNION ALL SELECT 'k', id, unnest(regexp_extract_all(lower(label), '[a-z0-9]+')) FROM kg_nodes)) GROUP BY ALL), w AS (SELECT k, id, b, n / sqrt(sum(n * n) OVER (PARTITION BY k, id)) AS w FROM h), m AS (SELECT c.id AS cand, k.id, round(sum(c.w * k.w), 6) AS sim FROM w c JOIN w k ON c.b = k.b AND c.k = 'c' AND k.k = 'k' GROUP BY c.id, k.id) SELECT cand, id, sim, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY cand ORDER BY sim DESC, id) AS rank FROM m) WHERE rank <= 8")
+@query("WITH h AS (SELECT k, id, b, count(*) AS n FROM (SELECT k, id, CAST(concat('0x', substr(md5(t), 1, 8)) AS BIGINT) % 256 AS b FROM (SELECT 'c' AS k, concat('i', item_id) AS id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS t FROM benchmark UNION ALL SELECT 'k', id, unnest(regexp_extract_all(lower(label), '[a-z0-9]+')) FROM kg_nodes)) GROUP BY ALL), w AS (SELECT k, id, b, n / sqrt(sum(n * n) OVER (PARTITION BY k, id)) AS w FROM h), m AS (SELECT c.id AS cand, k.id, round(sum(c.w * k.w), 9) AS sim FROM w c JOIN w k ON c.b = k.b AND c.k = 'c' AND k.k = 'k' GROUP BY c.id, k.id) SELECT cand, id, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY cand ORDER BY sim DESC, id) AS rank FROM m) WHERE rank <= 8")
 def align_recall_topk(s, d):
-    return retrieval.recall(table(s, d, "benchmark").select(F.concat(F.lit("i"), "item_id").alias("cand"), "text"), derived(s, d, "kg_nodes").select("id", F.col("label").alias("text")))
+    return retrieval.recall(table(s, d, "benchmark").select(F.concat(F.lit("i"), "item_id").alias("cand"), "text"), derived(s, d, "kg_nodes").select("id", F.col("label").alias("text"))).withColumn("sim", F.round("sim", 6))
 
 
 @query("SELECT DISTINCT bundle_id, material_id FROM (SELECT bundle_id, unnest(nodes) AS id FROM bundles) JOIN (SELECT material_id, unnest(linked_nodes) AS id FROM materials) USING (id)")
@@ -367,16 +402,8 @@ def type_pick(s, d):
     return derived(s, d, "bundles").select("bundle_id", tasks.pick_type(F.col("intent"), F.col("bundle_id"), [t for t, _, _ in tasks.TASK_TYPES]).alias("task_type"))
 
 
-@query("WITH l AS (SELECT bundle_id, count(DISTINCT material_id) AS n FROM (SELECT bundle_id, unnest(nodes) AS id FROM bundles) JOIN (SELECT material_id, unnest(linked_nodes) AS id FROM materials WHERE quality_score > 0.98) USING (id) GROUP BY bundle_id) SELECT b.bundle_id, CASE WHEN intent = 'joint' THEN 'multihop_qa' ELSE 'atomic_qa' END AS task_type, coalesce(n, 0) AS n_materials, coalesce(n, 0) >= CASE WHEN intent = 'joint' THEN 2 ELSE 1 END AS enough FROM bundles b LEFT JOIN l USING (bundle_id)")
-def min_docs_gate(s, d):
-    own = derived(s, d, "bundles")
-    linked = retrieval.link_materials(own, derived(s, d, "materials").where("quality_score > 0.98"))
-    typed = own.select("bundle_id", F.when(F.col("intent") == "joint", "multihop_qa").otherwise("atomic_qa").alias("task_type"))
-    return tasks.gate(typed, linked, tasks.task_types(s)).select("bundle_id", "task_type", "n_materials", "enough")
-
-
 @query("WITH l AS (SELECT bundle_id, count(DISTINCT material_id) AS n FROM (SELECT bundle_id, unnest(nodes) AS id FROM bundles) JOIN (SELECT material_id, unnest(linked_nodes) AS id FROM materials) USING (id) GROUP BY bundle_id) SELECT b.bundle_id, task_type, coalesce(n, 0) AS n_materials, coalesce(n, 0) >= CASE WHEN task_type = 'multihop_qa' THEN 2 ELSE 1 END AS enough FROM (SELECT bundle_id, CASE WHEN intent = 'joint' THEN 'multihop_qa' ELSE 'atomic_qa' END AS task_type FROM bundles UNION ALL SELECT concat('o', o_orderkey), CASE WHEN o_orderkey % 2 = 0 THEN 'multihop_qa' ELSE 'atomic_qa' END FROM orders) b LEFT JOIN (SELECT * FROM l UNION ALL SELECT concat('o', l_orderkey), count(*) FROM lineitem GROUP BY l_orderkey) USING (bundle_id)")
-def min_docs_gate_whole(s, d):
+def min_docs_gate(s, d):
     """All materials; orders with their lines are bundles too, of which some have fewer than their type needs."""
     bundles, orders = derived(s, d, "bundles"), table(s, d, "orders")
     linked = retrieval.link_materials(bundles, derived(s, d, "materials"))
@@ -410,9 +437,9 @@ def verify_dispatch(s, d):
     return derived(s, d, "tasks").select("task_id", tasks.dispatch(F.col("verify_result"), F.col("verifier")).alias("by"))
 
 
-_CONTEXT = """WITH c AS (SELECT task_id, language, m.material_id, m.title, i, trim(m.text) AS body FROM (SELECT task_id, language, unnest(materials) AS id, unnest(range(1, 4)) AS i FROM tasks) JOIN materials m ON m.material_id = id WHERE m.quality_score >= 0.1 AND trim(m.text) <> ''),
+_CONTEXT = """WITH c AS (SELECT task_id, language, m.material_id, m.title, i, regexp_replace(coalesce(nullif(m.text, ''), m.snippet), '^\\s+|\\s+$', '', 'g') AS body FROM (SELECT task_id, language, unnest(materials) AS id, unnest(range(1, 4)) AS i FROM tasks) JOIN materials m ON m.material_id = id WHERE m.quality_score >= 0.1 AND regexp_matches(coalesce(nullif(m.text, ''), m.snippet), '\\S')),
 b AS (SELECT *, 4000 - coalesce(sum(length(body)) OVER (PARTITION BY task_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room FROM c),
-x AS (SELECT task_id, concat(CASE WHEN any_value(language) LIKE 'zh%' THEN '材料：' ELSE 'Materials:' END, chr(10), string_agg(concat('[', material_id, '] ', title, chr(10), left(body, CAST(room AS BIGINT))), concat(chr(10), chr(10)) ORDER BY i), chr(10), chr(10), CASE WHEN any_value(language) LIKE 'zh%' THEN '问题：' ELSE 'Question：' END) AS context FROM b WHERE room > 0 GROUP BY task_id) """
+x AS (SELECT task_id, concat(CASE WHEN lower(any_value(language)) LIKE 'zh%' THEN '材料：' ELSE 'Materials:' END, chr(10), string_agg(regexp_replace(concat('[', material_id, '] ', title, chr(10), left(body, CAST(room AS BIGINT))), '^\\s+|\\s+$', '', 'g'), concat(chr(10), chr(10)) ORDER BY i), chr(10), chr(10), CASE WHEN lower(any_value(language)) LIKE 'zh%' THEN '问题：' ELSE 'Question：' END) AS context FROM b WHERE room > 0 GROUP BY task_id) """
 
 
 @query(_CONTEXT + "SELECT task_id, coalesce(context, '') AS context FROM tasks LEFT JOIN x USING (task_id)")
@@ -446,6 +473,24 @@ def manifest_counts(s, d):
     return tasks.manifest(derived(s, d, "tasks"), derived(s, d, "materials"))
 
 
+@query("SELECT task_id, concat(task_id, ' [', task_type, '/', verify_result, '] ', left(question, 36)) AS label FROM tasks WHERE task_type = 'multihop_qa' AND verify_result = 'pass'")
+def task_labels(s, d):
+    return tasks.labels_of(tasks.chosen(derived(s, d, "tasks"), "multihop_qa", "pass"))
+
+
+@query("SELECT task_id, md5(concat('### ', task_type, ' · ', verify_result, chr(10), chr(10), '**Q** ', question, chr(10), chr(10), '**A** ', answer, chr(10), chr(10), '**rubric**', chr(10), '- ', level, chr(10), '- ', language)) AS text, concat('{\"task_id\":\"', task_id, '\",\"verifier\":', CASE WHEN verifier IS NULL THEN 'null' ELSE concat('\"', verifier, '\"') END, ',\"materials\":[\"', array_to_string(materials, '\",\"'), '\"],\"nodes\":[\"', array_to_string(nodes, '\",\"'), '\"]}') AS provenance FROM tasks")
+def task_detail(s, d):
+    own = derived(s, d, "tasks").withColumn("rubric", F.array(F.col("level").cast("string"), "language"))
+    return tasks.detail(own).withColumn("text", F.md5(F.col("text").cast("binary")))
+
+
+@query("SELECT task_id, concat('{\"task_id\":\"', task_id, '\",\"task_type\":\"', task_type, '\",\"nodes\":[\"', array_to_string(nodes, '\",\"'), '\"],\"ancestor_paths\":', CASE WHEN b.n IS NULL THEN 'null' ELSE concat('{\"x\":[\"', b.n, '\"]}') END, ',\"material_ids\":[\"', array_to_string(materials, '\",\"'), '\"],\"verifier\":', CASE WHEN verifier IS NULL THEN 'null' ELSE concat('\"', verifier, '\"') END, ',\"verify_result\":\"', verify_result, '\"}') AS line FROM tasks LEFT JOIN (SELECT bundle_id AS n FROM bundles) b ON b.n = concat('b', level)")
+def task_lineage(s, d):
+    own = derived(s, d, "tasks").withColumn("bundle_id", F.concat(F.lit("b"), "level"))
+    paths = derived(s, d, "bundles").select("bundle_id", F.create_map(F.lit("x"), F.array("bundle_id")).alias("ancestor_paths"))
+    return tasks.lineage(own, paths)
+
+
 # reports
 
 

@@ -1,8 +1,12 @@
+import math
+from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as T
-from lodestone.operators import graph, report, retrieval, sampling, tasks
+from lodestone.operators import cards, graph, report, retrieval, sampling, tasks
 
 
 def one(spark, column, **values):
@@ -29,8 +33,14 @@ def test_chunks(spark, size, overlap):
 
 
 def test_urls(spark):
-    frame = spark.createDataFrame([("https://Example.com/page/?utm_source=news",), ("https://example.com/page",), ("HTTP://A.b/c?x=1&UTM_x=2&y=#top",), (None,)], "u string")
-    assert [r[0] for r in frame.select(T.normal_url("u")).collect()] == ["https://example.com/page", "https://example.com/page", "http://a.b/c?x=1&y=", None]
+    def form(url):
+        u = urlsplit(url)
+        kept = [(k, v) for k, v in parse_qsl(u.query, keep_blank_values=True) if not k.lower().startswith("utm_")]
+        return urlunsplit((u.scheme.lower(), u.netloc.lower(), u.path.rstrip("/"), urlencode(kept), ""))
+
+    plain = ["HTTPS://News.Site/a/b//?UTM_Id=7&q=x+y&empty=&flag#part", "ftp://H:21/%41?z=%C3%A9&z=a%20b*~&&=v", "no-scheme/path/?a=b=c", "//host/x?utm_a", "mailto:me@x.y", "", "http://h?k=%zz", "HTTP://A.B", "a:b:c/d"]
+    frame = spark.createDataFrame([(f"  {u}\n",) for u in plain] + [("http://[bad/x/",), (None,)], "u string")
+    assert [r[0] for r in frame.select(T.normal_url("u")).collect()] == [*map(form, plain), "http://[bad/x/", None]
 
 
 def test_json_part(spark):
@@ -71,10 +81,96 @@ def test_leaves_stand_in_for_atomic_nodes(spark):
 
 
 def test_query_shapes(spark):
-    rows = [("kernel", ["CS", "AI", "GPU programming", "kernel"], s, []) for s in ("web", "github", "arxiv", "local")] + [("kernel", ["CS"], "local", ["driver"])]
-    found = retrieval.query_shapes(spark.createDataFrame(rows, "label string, path array<string>, source_type string, others array<string>")).collect()
-    assert found[0].queries == ["AI GPU programming kernel", "AI GPU programming kernel tutorial", "kernel in GPU programming guide"]
-    assert any("topic:" in q for q in found[1].queries) and found[2].queries[0].startswith('"') and found[4].queries[-1] == "kernel AND driver"
+    path = [" Cooking", "", "Bread", "sour dough", "Starter "]
+    rows = [("starter", path, x, []) for x in ("web", "github", "arxiv", "local")] + [("starter", [], x, []) for x in ("web", "github", "arxiv")] + [("starter", ["Cooking"], "local", ["starter", " levain ", "", "starter"])]
+    found = [r.queries for r in retrieval.query_shapes(spark.createDataFrame(rows, "label string, path array<string>, source_type string, others array<string>")).collect()]
+    assert found == [
+        ["Bread sour dough starter", "Bread sour dough starter tutorial", "starter in sour dough guide"], ["Cooking Bread sour dough starter", "starter topic:sour-dough"], ['"Bread sour dough starter"'], ["Cooking Bread sour dough starter"],
+        ["starter", "starter tutorial"], ["starter", "starter topic:starter"], ['"starter"'], ["Cooking starter", "starter AND levain"],
+    ]
+
+
+def test_duplicates_inside_bundles(spark):
+    rows = [("b1", 0, "m1", "https://A.b/x?utm_s=1", None, "t", "one text of some words here", ""), ("b1", 1, "m2", "https://a.b/x/", None, "t", "one text of some words here", ""), ("b1", 2, "m3", None, "p", "t", "quite another thing is said", ""), ("b1", 3, "m4", None, "p", "t", "", "a snippet only"), ("b2", 4, "m1", "https://a.b/x", None, "t", "one text of some words here", ""), ("b2", 5, "m5", None, None, "t", "x", ""), ("b2", 6, "m6", None, None, "t", "x", "")]
+    frame = spark.createDataFrame(rows, "bundle_id string, ord int, material_id string, uri string, path string, title string, text string, snippet string")
+    kept = lambda mode: sorted(r.ord for r in retrieval.deduplicated(frame, mode).collect())
+    assert kept("off") == kept("none") == list(range(7)) and kept("url") == [0, 2, 4, 5, 6] and kept("simhash") == [0, 2, 3, 4, 5]
+    with pytest.raises(ValueError, match="simhash"):
+        retrieval.deduplicated(frame, "best")
+
+
+def test_one_cap_over_all_intents(spark):
+    nodes = spark.createDataFrame([(x, x, i // 3, "atomic" if i > 2 else "expanding") for i, x in enumerate("abcdefg")], "id string, label string, level int, status string")
+    edges = spark.createDataFrame([("a", x, "is_subconcept") for x in "defg"], "parent string, child string, relation string")
+    sampled = nodes.select("id", F.lit(0).alias("times_sampled"))
+    drawn = sampling.draw_all(nodes, edges, sampled, {"breadth": 9, "depth": 9, "joint": 9}, seed=1, cap=3)
+    rows = drawn.collect()
+    picks = [x for r in rows for x in r.nodes]
+    assert all(picks.count(x) <= 3 for x in set(picks)) and {r.intent for r in rows} >= {"breadth", "depth"}
+    assert {x for r in rows if r.intent == "breadth" for x in r.nodes} >= set("abc")
+    counted = {r.id: r.times_sampled for r in sampling.count_samples(nodes, drawn).collect()}
+    assert counted == {x: picks.count(x) for x in "abcdefg"}
+    with pytest.raises(ValueError, match="inverse_frequency"):
+        sampling.draw_all(nodes, edges, sampled, {"breadth": 1, "depth": 0, "joint": 0}, seed=1, cap=3, prioritizer="ece")
+
+
+def test_best_matches_against_all_products(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(40)]
+    texts = [(i, " ".join(rng.choice(words, int(rng.integers(1, 25))))) for i in range(300)] + [(300 + i, "w1 w2 w3") for i in range(20)]
+    asked = [(i, " ".join(rng.choice(words, 5))) for i in range(30)] + [(99, "nothing known"), (100, "w1 w2")]
+    docs, queries = spark.createDataFrame(texts, "chunk_id int, text string"), spark.createDataFrame(asked, "qid int, text string")
+    idf = {w: math.log((len(texts) + 1) / (sum(w in t.split() for _, t in texts) + 1)) + 1 for w in words}
+    vector = lambda t: {w: (1 + math.log(t.split().count(w))) * idf.get(w, 0) for w in set(t.split())}
+    length = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    want = []
+    for q, t in asked:
+        a = vector(t)
+        scores = sorted((-round(sum(x * v.get(w, 0) for w, x in a.items()) / (length(a) * length(v)), 9), i) for i, v in ((i, vector(x)) for i, x in texts) if set(a) & set(v))
+        want += [(q, i, -s) for s, i in scores[:4]]
+    got = [(r.qid, r.chunk_id, r.score) for r in retrieval.tfidf_search(docs, queries, 4).orderBy("qid", "rank").collect()]
+    assert [x[:2] for x in got] == [x[:2] for x in want] and all(abs(a[2] - b[2]) < 1e-8 for a, b in zip(got, want, strict=True))
+
+
+def test_levels_of_a_long_chain(spark):
+    nodes = spark.createDataFrame([(f"n{i}", f"n{i}", "expanding") for i in range(30)], "id string, label string, status string")
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}", "is_subconcept") for i in range(29)], "parent string, child string, relation string")
+    assert graph.levels(nodes, edges).agg(F.max("level")).first()[0] == 29
+    assert graph.closure(edges, spark.createDataFrame([("n29",)], "id string")).count() == 29
+
+
+def test_cards(spark):
+    nodes = spark.createDataFrame([("r", "Root", 0, "expanding", "", 0), ("c", "Child", 1, "atomic", "d", 0), ("m", "Gone", 1, "merged", "", 9)], "id string, label string, level int, status string, description string, n_materials int")
+    edges = spark.createDataFrame([("r", "c")], "parent string, child string")
+    found = cards.stats(nodes, edges)
+    assert found["nodes"] == 2 and found["edges"] == 1 and found["seeds"] == ["Root"] and found["described"] == {"0": "0/1", "1": "1/1"} and found["max_level"] == 1
+    one = cards.revised(None, "g", found, {"max_depth": 6}, "h", "t1")
+    assert one.revision == 1 and len(one.notes) == 3 and cards.revised(one, "g", found, {"max_depth": 6}, "h", "t2") is one
+    two = cards.revised(one, "other", found, {"max_depth": 6}, "h", "t2")
+    assert two.revision == 2 and two.history[-1]["note"] == "renamed" and two.history[-1]["delta_nodes"] == 0 and two.created_at == "t1"
+    assert cards.Card.read(cards.card_json(two)) == two and cards.Card.read({"odd": 1}) is None and cards.Card.read([]) is None
+    assert cards.card_text(two).startswith("# other, revision 2\n")
+    many = two
+    for i in range(60):
+        many = cards.revised(many, "g", found | {"nodes": i}, {}, "h", f"t{i}")
+    assert len(many.history) == cards.HISTORY and many.revision == 62
+
+
+def test_task_types(spark):
+    tasks.register_task_type("own_type", 3, "answer_match")
+    try:
+        assert tasks.get_task_type("own_type") == (3, "answer_match") and "own_type" in tasks.list_task_types() and tasks.task_types(spark).count() == 6
+        with pytest.raises(ValueError, match="known"):
+            tasks.get_task_type("none")
+    finally:
+        tasks._REGISTRY.pop("own_type")
+
+
+def test_context_blocks(spark):
+    own = spark.createDataFrame([("t1", "ZH-cn", ["a", "b", "c", "d"]), ("t2", None, ["d"]), ("t3", "en", ["x"])], "task_id string, language string, materials array<string>")
+    materials = spark.createDataFrame([("a", None, "\u3000one\n", "s", 1.0), ("b", "B", " \t", "snippet", 1.0), ("c", "C", None, "from snippet", 1.0), ("d", "D", "y" * 50, "", 1.0)], "material_id string, title string, text string, snippet string, quality_score double")
+    got = {r.task_id: r.context for r in tasks.context_blocks(own, materials, 20).collect()}
+    assert got == {"t1": "材料：\n[a] \none\n\n[c] C\nfrom snippet\n\n[d] D\nyyyyy\n\n问题：", "t2": "Materials:\n[d] D\n" + "y" * 20 + "\n\nQuestion：", "t3": ""}
 
 
 def test_verification(spark):

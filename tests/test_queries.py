@@ -1,11 +1,14 @@
 """Every query with SQL against DuckDB on the smallest tables; those without against plain Python."""
 
 import os
+import random
+import zlib
 
 import duckdb
 import pytest
 
 from lodestone.functions.text import token_list
+from lodestone.operators.tasks import TASK_TYPES
 from lodestone.plans.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -54,6 +57,17 @@ def test_simhash_and_ordered_dedup(spark):
     assert sorted(r.id for r in QUERIES["simhash_dedup"](spark, SF).collect()) == kept
 
 
+def brute_draw(units, used, n, key, cap):
+    """One pass over arrivals (key, unit, pick): taken if all nodes have room."""
+    left, out = {x: cap - used.get(x, 0) for u in units for x in u}, []
+    for k, u, p in sorted(key):
+        if len(out) < n and all(left[x] > 0 for x in u):
+            out.append((u, p))
+            for x in u:
+                left[x] -= 1
+    return out
+
+
 def test_draws_keep_their_caps(spark):
     picks = QUERIES["weighted_draw"](spark, SF).collect()
     assert len({(r.id, r.pick) for r in picks}) == len(picks) and {r.pick for r in picks} <= {1, 2}
@@ -64,10 +78,25 @@ def test_draws_keep_their_caps(spark):
         for x in g:
             used[x] = used.get(x, 0) + 1
     assert len(groups) == 40 and max(used.values()) <= 2
-    assert {r.task_type for r in QUERIES["type_pick"](spark, SF).collect()} >= {"multihop_qa"}
+    types = {r.bundle_id: r.task_type for r in QUERIES["type_pick"](spark, SF).collect()}
+    names, bundles = [t for t, _, _ in TASK_TYPES], spark.read.parquet(f"{SF}/nation.parquet").collect()
+    for r in bundles:  # crc32 of seed and id, in equal shares
+        u = zlib.crc32(f"42:b{r.n_nationkey}".encode()) % 1_000_000 / 1_000_000 * len(names)
+        assert types[f"b{r.n_nationkey}"] == ("multihop_qa" if r.n_nationkey % 3 == 0 else names[int(u)])
+
+
+def test_rounds_of_groups_equal_one_pass(spark):
+    from lodestone.operators.sampling import _by_rounds
+
+    rng = random.Random(3)
+    picks = [(sorted(rng.sample("abcdefgh", rng.randint(2, 3))), i, rng.random()) for i in range(60)]
+    rooms = {x: rng.randint(0, 6) for x in "abcdefgh"}
+    got = _by_rounds(spark.createDataFrame(picks, "members array<string>, pick int, ord double"), spark.createDataFrame(list(rooms.items()), "id string, left int"), 99).collect()
+    want = brute_draw([p[0] for p in picks], {x: 6 - n for x, n in rooms.items()}, 99, [(o, tuple(m), p) for m, p, o in picks], 6)
+    assert sorted((tuple(r.members), r.pick) for r in got) == sorted(want)
 
 
-def test_url_dedup_whole_keeps_the_first_page_of_each_normal_form(spark):
+def test_url_dedup_keeps_the_first_page_of_each_normal_form(spark):
     from urllib.parse import parse_qsl, urlencode, urlsplit
 
     def form(url):
@@ -81,11 +110,11 @@ def test_url_dedup_whole_keeps_the_first_page_of_each_normal_form(spark):
     for r in sorted(pages, key=lambda r: r.page_id):
         first.setdefault(form(r.url), r.page_id)
     assert sum("utm_" in r.url or not r.url.startswith("https://") for r in pages) > 0
-    assert sorted((r.page_id, r.url) for r in QUERIES["url_dedup_whole"](spark, SF).collect()) == sorted((i, u) for u, i in first.items())
+    assert sorted((r.page_id, r.url) for r in QUERIES["url_dedup"](spark, SF).collect()) == sorted((i, u) for u, i in first.items())
 
 
-def test_min_docs_gate_whole_counts_all_materials(spark):
-    rows = {r.bundle_id: r for r in QUERIES["min_docs_gate_whole"](spark, SF).collect()}
+def test_min_docs_gate_counts_all_materials(spark):
+    rows = {r.bundle_id: r for r in QUERIES["min_docs_gate"](spark, SF).collect()}
     ids = [r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()]
     for n in range(25):
         nodes = {n, (n + 7) % 25}
@@ -93,9 +122,9 @@ def test_min_docs_gate_whole_counts_all_materials(spark):
     assert {(r.task_type, r.enough) for r in rows.values()} >= {("multihop_qa", True), ("multihop_qa", False), ("atomic_qa", True)}
 
 
-def test_rerank_overlap_whole_asks_for_the_whole_benchmark(spark):
+def test_rerank_overlap_asks_for_the_benchmark(spark):
     asked = {t for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() for t in token_list(r.text)}
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     want = {f"m{r.doc_id}": len(asked & set(token_list(" ".join([r.text[:40], r.text[:200], r.text])))) / len(asked) for r in docs if r.text is not None}
-    rows = {r.material_id: r.score for r in QUERIES["rerank_overlap_whole"](spark, SF).collect()}
+    rows = {r.material_id: r.score for r in QUERIES["rerank_overlap"](spark, SF).collect()}
     assert all(abs(rows[k] - v) < 1e-6 for k, v in want.items())
