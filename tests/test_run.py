@@ -3,8 +3,12 @@ import json
 import pytest
 
 from lodestone.__main__ import main
+from lodestone.api import load_graph, load_materials, load_sample_bundles
+from lodestone.plans import artifacts
 from lodestone.plans.model import ManagedModel, ScriptedModel
+from lodestone.plans.retrieve import retrieve_materials, targets
 from lodestone.plans.run import MissingStage, Run, settings_hash, settings_of
+from lodestone.sources.search import SourceError
 
 
 def brief(*labels):
@@ -33,12 +37,66 @@ def test_run(spark, tmp_path, capsys):
     calls = model.calls
     again = run.all()
     assert model.calls == calls and again == out and run.read("verified", "verify").count() == len(done)
+    # replies are kept in the work folder: another client pays for none of them
+    other = Run(spark, settings, ManagedModel(ScriptedModel({}, "no JSON")))
+    assert other.model.kept == model.kept and len(other.model.kept) > 3
+    runs = artifacts.load(spark, run.path("runs"), "run_id").collect()
+    assert len(runs) == 2 and all(r.finished_at and json.loads(r.stage_stats)["provenance"] == 1.0 for r in runs)
+    lines = [json.loads(r.value) for r in spark.read.text(run.path("lineage")).collect()]
+    assert {x["task_id"] for x in lines} == {r.task_id for r in done} and all(set(x["ancestor_paths"]) == set(x["nodes"]) for x in lines)
+    picks = [x for r in run.read("bundles", "sample").collect() for x in r.nodes]
+    assert {r.id: r.times_sampled for r in run.read("samples", "sample").collect()} == {r.id: picks.count(r.id) for r in run.nodes().collect()}
+    assert "# Run report" in "\n".join(r.value for r in spark.read.text(run.path("report_md")).collect())
+    assert "revision 2" in run.card() and run.card() == run.card()
+    loaded = load_graph(spark, settings["workdir"])
+    assert {r.id: r.level for r in loaded["nodes"].collect()} == {r.id: r.level for r in run.nodes().collect()}
+    assert load_materials(spark, settings["workdir"]).count() > 0 and load_sample_bundles(spark, settings["workdir"]).count() == len({r.bundle_id for r in done})
     (tmp_path / "s.json").write_text(json.dumps(settings))
+    for words in (["graph", "--format", "json"], ["review", "--queue", "parents"], ["tasks", "--type", "atomic_qa"], ["card"], ["ingest"]):
+        assert main([words[0], str(tmp_path / "s.json"), *words[1:]]) == 0
     assert main(["graph", str(tmp_path / "s.json")]) == 0 and '"soil"' not in capsys.readouterr().err
     (tmp_path / "t.json").write_text(json.dumps(settings | {"workdir": str(tmp_path / "none")}))
     assert main(["sample", str(tmp_path / "t.json")]) == 1 and "run build first" in capsys.readouterr().err
 
 
+def test_retrieval_from_several_sources(spark):
+    nodes = spark.createDataFrame([("a", "bread", "bread of rye"), ("b", "yeast", "wild yeast")], "id string, label string, description string")
+    bundles = spark.createDataFrame([("b1", "joint", ["a", "b", "gone"], {"a": ["food", "bread"], "b": ["food", "yeast"]}), ("b2", "depth", ["a"], {"a": ["food", "bread"]})], "bundle_id string, intent string, nodes array<string>, ancestor_paths map<string,array<string>>")
+    chunks = spark.createDataFrame([("m1", "f/x.txt", "rye bread and wild yeast"), ("m2", "f/y.txt", "nothing of it")], "material_id string, path string, text string")
+    items = {"items": [{"html_url": "http://g/1", "full_name": "bread", "description": "on rye bread"}, {"html_url": "http://g/1/", "full_name": "copy"}]}
+
+    def fetch(url, body, headers):
+        if "github" in url:
+            return json.dumps(items).encode()
+        raise SourceError("down")
+
+    how = {"sources": ["local", "github", "arxiv"], "per_node": 3, "license": "whitelist", "dedup": "url", "rerank": "overlap"}
+    found = {(r.source_type, r.title): r for r in retrieve_materials(bundles, nodes, chunks, how, fetch).collect()}
+    assert set(found) == {("local", "x.txt"), ("github", "bread")}
+    assert found["local", "x.txt"].linked_nodes == ["a"] and found["github", "bread"].uri == "http://g/1" and found["github", "bread"].quality_score > 0
+    asked = {(r.bundle_id, r.id): r for r in targets(bundles, nodes).collect()}
+    assert asked["b1", "gone"].label == "gone" and asked["b1", "gone"].path == [] and asked["b1", "a"].others == ["bread", "yeast", "gone"] and asked["b2", "a"].others == []
+    with pytest.raises(SourceError, match="down"):
+        retrieve_materials(bundles, nodes, None, how | {"sources": ["arxiv"]}, fetch).collect()
+
+
+def test_budgets_of_dealt_calls(spark):
+    prompts = spark.createDataFrame([(i, f"p{i % 7}") for i in range(20)], "id int, prompt string")
+    model = ManagedModel(ScriptedModel({"p": "r"}, cost=0.5), max_calls=5)
+    rows = model.answers(prompts, "x", wave=2).collect()
+    assert len(rows) == 20 and model.calls == 5 and len({r.prompt for r in rows if r.reply == "r"}) == 5
+    model.max_calls = 99
+    assert all(r.reply == "r" for r in model.answers(prompts, "x").collect()) and model.calls == 7 and model.spent == 3.5
+    poor = ManagedModel(ScriptedModel({"p": "r"}, cost=1.0), max_cost=2.0)
+    assert sum(r.reply is None for r in poor.answers(prompts, "x", wave=1).collect()) > 0 and poor.calls == 2
+
+    class Failing(ScriptedModel):
+        def complete(self, prompt):
+            raise KeyError("no")
+
+    assert all("KeyError" in r.error for r in ManagedModel(Failing()).answers(prompts, "x").collect())
+
+
 def test_settings():
     assert settings_hash(settings_of()) == settings_hash(settings_of({})) != settings_hash(settings_of({"seed": 1}))
     assert settings_of({"sample": {"n": 3}})["sample"]["depth"] == 0.6
