@@ -57,22 +57,19 @@ def split_columns(n: Column, breadth: Column, depth: Column, joint: Column) -> C
     return F.struct(first.alias("breadth"), second.alias("depth"), (n - first - second).cast("bigint").alias("joint"))
 
 
-def seeded(seed: int, *columns: str) -> Column:
-    """A uniform number in (0, 1) from a hash, the same on every run."""
-    return (F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+def seeded(seed: int, *values: Column | str) -> Column:
+    """A uniform number in (0, 1) from an MD5 of the values, the same on every run and engine."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[(F.col(v) if isinstance(v, str) else v).cast("string") for v in values])
+    return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint") + 0.5) / float(1 << 52)
 
 
 def _arrivals(seed: int, name: str, weight_: Column, most: Column) -> Column:
     """Times of a unit's picks 1, 2, ... `most`: sums of exponential waits of rate weight, so the next pick of all units is a weighted choice."""
-    waits = F.transform(F.sequence(F.lit(1), most), lambda i: -F.log(seeded_of(seed, F.col(name), i)) / F.greatest(weight_, F.lit(1e-12)))
+    waits = F.transform(F.sequence(F.lit(1), most), lambda i: -F.log(seeded(seed, name, i)) / F.greatest(weight_, F.lit(1e-12)))
     step = lambda a, x: F.struct((a["t"] + x).alias("t"), F.concat(a["all"], F.array(a["t"] + x)).alias("all"))
     return F.aggregate(waits, F.struct(F.lit(0.0).alias("t"), F.array().cast("array<double>").alias("all")), step, lambda a: a["all"])
 
 
-def seeded_of(seed: int, *values: Column) -> Column:
-    return (F.pmod(F.xxhash64(F.lit(seed), *values), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-
-
 def _left(pool: DataFrame, used: DataFrame | None, cap: int) -> DataFrame:
     """pool with `left`, how often each id may still be picked; used(id, n) are earlier picks, of other intents too."""
     if used is None:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import answer_form, strip
+from lodestone.operators.sampling import seeded
 
 #: Task type, least number of materials, verifier.
 TASK_TYPES = [("atomic_qa", 1, "answer_match"), ("aggregated_qa", 2, "answer_match"), ("multihop_qa", 2, "answer_match"), ("grounded_summary", 1, None), ("comparative_analysis", 2, None)]
@@ -43,7 +44,7 @@ def pick_type(intent: Column, key: Column, enabled: list[str], weights: dict[str
         raise ValueError("no task type is enabled")
     own = [(t, (weights or {}).get(t, 1.0)) for t in enabled]
     total = sum(w for _, w in own)
-    u = F.pmod(F.crc32(F.concat(F.lit(f"{seed}:"), key).cast("binary")), F.lit(1_000_000)) / 1_000_000 * total
+    u = seeded(seed, key) * total
     ordered, upto = None, 0.0
     for t, w in own[:-1]:
         upto += w

@@ -2,24 +2,34 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share, from spark.checkpoint.dir; a local session without one gets its own, until the program ends."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if found:
+        return found.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not hasattr(shared_dir, "own"):
+        own = tempfile.mkdtemp(prefix="lodestone-")
+        atexit.register(shutil.rmtree, own, True)
+        shared_dir.own = f"file://{own}"
+    return shared_dir.own
+
+
 def durable(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df as Parquet under spark.checkpoint.dir (a folder of its own in a local session without one) and reads it back."""
+    """Writes df as Parquet in the shared folder and reads it back: it cuts lineage, and it survives the loss of executors."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        if not hasattr(durable, "own"):
-            durable.own = f"file://{tempfile.mkdtemp(prefix='lodestone-')}"
-        base = durable.own
-    path = f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -246,11 +246,14 @@ def bundle_assembly(s, d):
     return out.select("bundle_id", "intent", "level", text.alias("paths"))
 
 
-@query()
+_U = "((CAST(concat('0x', substr(md5(concat('{}|', {})), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496e0)"
+
+
+@query(f"WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS id, 1 / (1 + 1e0 * coalesce(n, 0)) AS w FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY ALL) ON o_custkey = c_custkey), p AS (SELECT id, 1 AS pick, {_U.format(42, 'id')} AS ord FROM c UNION ALL SELECT id, 2, 1 - ln({_U.format(42, chr(99) + 'oncat(id, ' + chr(39) + '|1' + chr(39) + ')')}) / w FROM c) SELECT id, CAST(pick AS INTEGER) AS pick, round(ord, 9) AS ord FROM p ORDER BY p.ord, id, pick LIMIT 2000")
 def weighted_draw(s, d):
     pool = table(s, d, "customer").select(F.col("c_custkey").cast("string").alias("id"))
     sampled = table(s, d, "orders").groupBy(F.col("o_custkey").cast("string").alias("id")).agg(F.count("*").alias("times_sampled"))
-    return sampling.draw(pool, sampled, 2000, seed=42, cap=2)
+    return sampling.draw(pool, sampled, 2000, seed=42, cap=2).withColumn("ord", F.round("ord", 9))
 
 
 @query()
@@ -343,7 +346,10 @@ def url_normalize(s, d):
     return table(s, d, "pages").select("page_id", T.normal_url("url").alias("url"))
 
 
-@query()
+@query("""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents), g AS (SELECT doc_id, unnest(CASE WHEN len(w) < 4 THEN w ELSE [concat_ws(' ', w[i], w[i + 1], w[i + 2]) for i in range(1, len(w) - 1)] END) AS g FROM t),
+h AS (SELECT doc_id, CAST(concat('0x', substr(md5(g), 1, 8)) AS BIGINT) AS hi, CAST(concat('0x', substr(md5(g), 9, 8)) AS BIGINT) AS lo FROM g), s AS (SELECT doc_id, b, 2 * sum((hi >> b) & 1) > count(*) AS hi, 2 * sum((lo >> b) & 1) > count(*) AS lo FROM h, (SELECT unnest(range(32)) AS b) GROUP BY doc_id, b),
+p AS (SELECT doc_id, CAST(sum(CASE WHEN hi THEN CAST(1 AS BIGINT) << b ELSE 0 END) AS BIGINT) AS hi, CAST(sum(CASE WHEN lo THEN CAST(1 AS BIGINT) << b ELSE 0 END) AS BIGINT) AS lo FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce((CASE WHEN hi >= 2147483648 THEN hi - 4294967296 ELSE hi END) * 4294967296 + lo, 0) AS fp FROM documents LEFT JOIN p USING (doc_id)""")
 def simhash_values(s, d):
     return table(s, d, "documents").select("doc_id", T.simhash64("text").alias("fp"))
 
@@ -397,7 +403,7 @@ def resume_antijoin(s, d):
     return derived(s, d, "bundles").join(done, "bundle_id", "left_anti").select("bundle_id")
 
 
-@query()
+@query(f"SELECT bundle_id, CASE WHEN intent = 'joint' THEN 'multihop_qa' ELSE ['atomic_qa', 'aggregated_qa', 'multihop_qa', 'grounded_summary', 'comparative_analysis'][1 + CAST(floor(5 * {_U.format(42, 'bundle_id')}) AS BIGINT)] END AS task_type FROM bundles")
 def type_pick(s, d):
     return derived(s, d, "bundles").select("bundle_id", tasks.pick_type(F.col("intent"), F.col("bundle_id"), [t for t, _, _ in tasks.TASK_TYPES]).alias("task_type"))
 
