@@ -1,35 +1,18 @@
-"""What the operators of this subpackage share: durable intermediate tables, batch slicing, components."""
+"""What the operators of this subpackage share: durable intermediate tables (from the engine), batch slicing, components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.plans.durable import durable as materialize
+from lodestone.plans.durable import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; a local session without one gets its own."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not hasattr(shared_dir, "own"):
-        shared_dir.own = f"file://{tempfile.mkdtemp(prefix='lodestone-')}"
-    return shared_dir.own
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back: it cuts lineage, and it survives the loss of executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["as_bytes", "byte_slices", "connected_components", "materialize", "shared_dir"]
 
 
 def byte_slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:

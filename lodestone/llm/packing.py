@@ -21,6 +21,7 @@ from lodestone.llm.tokens import encoder
 
 DOCS_PER_GROUP = 4096
 GROUPS_PER_TASK = 8
+MOST_TASKS = 100_000
 
 
 class TournamentTree:
@@ -107,6 +108,6 @@ def pack_documents(
 
     schema = f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids binary" * with_ids
     pieces = docs.mapInArrow(cut, f"{schema}, _group bigint")
-    # a task's groups are bounded, whatever the session's number of partitions
-    pieces = pieces.repartition(max(1, -(-groups // GROUPS_PER_TASK)), "_group")
+    # groups are packed one by one, so a task's memory is that of one, whatever the session's number of partitions
+    pieces = pieces.repartition(min(MOST_TASKS, max(1, -(-groups // GROUPS_PER_TASK))), "_group")
     return pieces.groupBy("_group").applyInArrow(pack, f"{schema}, sequence_id bigint, offset bigint")

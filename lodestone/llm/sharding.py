@@ -3,7 +3,8 @@
 The first pass scatters records by seeded hashes into buckets that fit in memory: the shard is the highest of one seeded hash
 for each shard (so another shard only takes rows into itself), and a second hash of the row's place splits a shard into
 buckets. The second pass puts each bucket in a fixed order, shuffles it by Fisher-Yates with a seed of its own, and writes it.
-Equal doc_ids share a shard; null doc_ids do so too. Null text is empty. Repeated rows keep one slot each.
+Equal doc_ids share a shard; null doc_ids do so too, over all its buckets, as a row's place and not its id alone decides the bucket. So
+the order inside a shard is fixed for one layout of the input, and another layout of the same rows gives another order. Null text is empty. Repeated rows keep one slot each.
 An empty table gives no files and no rows.
 """
 
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import shared_dir
 
 BUCKET_BYTES = 16_000_000
+#: With more buckets a task shuffles several, one after the other.
+MOST_TASKS = 100_000
 
 
 def rendezvous_shard(key: Column, shards: int, seed: int) -> Column:
@@ -54,7 +57,7 @@ def write_shards(docs: DataFrame, path: str, *, shards: int = 40, seed: int = 23
 
     schema = placed.select(*columns).withColumn("place", F.lit(0).cast("bigint")).schema
     # about a bucket a task, whatever the session's number of partitions
-    placed = placed.repartition(shards * buckets, "shard", "bucket")
+    placed = placed.repartition(min(MOST_TASKS, shards * buckets), "shard", "bucket")
     placed.groupBy("shard", "bucket").applyInArrow(shuffle, schema).write.partitionBy("shard").parquet(path)
     return read_shards(spark, path, schema)
 
