@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.common import as_bytes, byte_slices, materialize
 
-DEPTH, LEAST, DIVERGENCE, ALPHA, FOLDS, COMMON = 5, 4, 0.02, 8.0, 10, 400_000
+DEPTH, LEAST, DIVERGENCE, ALPHA, FOLDS, COMMON = 5, 4, 0.02, 8.0, 10, 700_000
+#: Counts that a task holds.
+HELD = 3_000_000
 END = 10  # a byte that no word holds
 
 
@@ -64,21 +66,50 @@ class Slice:
         self.grams = np.delete(keys, skip.ravel())
 
 
+def _combined(kinds: list[np.ndarray], keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """Sums of equal kinds and keys."""
+    out: tuple[list, list, list] = ([], [], [])
+    kind, key, count = np.concatenate(kinds), np.concatenate(keys), np.concatenate(n)
+    for k in (0, 1, 2):
+        own = kind == k
+        names, code = np.unique(key[own], return_inverse=True)
+        sums = np.zeros(len(names), np.int64)
+        np.add.at(sums, code, count[own])
+        for to, x in zip(out, (np.full(len(names), k, np.int8), names, sums), strict=True):
+            to.append(x)
+    return out
+
+
 def _count(batches: Iterator[pa.RecordBatch], depth: int, folds: int) -> Iterator[pa.RecordBatch]:
-    """(kind, key, n): kind 0 words, 1 end tokens, 2 symbols with their longest context; those of held-out texts too, with n 0."""
+    """(kind, key, n): kind 0 words, 1 end tokens, 2 symbols with their longest context; those of held-out texts too, with n 0.
+
+    A task adds up what it has counted whenever that is HELD rows, and gives it out if it stays above half of that.
+    """
+    found: tuple[list, list, list] = ([], [], [])
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        kinds, keys, n = (np.concatenate(x) for x in found)
+        for i in range(0, len(keys), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50_000]) for x in (kinds, keys, n)], names=["kind", "key", "n"])
+
     for batch in batches:
-        for rows in byte_slices(batch, "text", 8_000_000):
-            held = held_out(rows.column("doc_id").to_pylist(), folds).tolist()
-            every = as_bytes(rows.column("text"))
+        for part in byte_slices(batch, "text", 3_000_000):
+            held = held_out(part.column("doc_id").to_pylist(), folds).tolist()
+            every = as_bytes(part.column("text"))
             own = Slice([x for x, h in zip(every, held, strict=True) if not h], depth)
-            other = pd.unique(Slice([x for x, h in zip(every, held, strict=True) if h], depth).grams)
-            grams = pd.Series(own.grams).value_counts(sort=False)
-            other = np.setdiff1d(other, grams.index.to_numpy(np.uint64))
-            kinds = np.r_[np.zeros(len(own.hashes), np.int8), np.int8(1), np.full(len(grams) + len(other), 2, np.int8)]
-            keys = np.r_[own.hashes, 0, grams.index.to_numpy(np.uint64).view(np.int64), other.view(np.int64)]
-            n = np.r_[np.bincount(own.codes, minlength=len(own.hashes)), held.count(False), grams.to_numpy(), np.zeros(len(other))].astype(np.int64)
-            for i in range(0, len(keys), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50_000]) for x in (kinds, keys, n)], names=["kind", "key", "n"])
+            grams, n = np.unique(own.grams, return_counts=True)
+            other = np.setdiff1d(Slice([x for x, h in zip(every, held, strict=True) if h], depth).grams, grams)
+            found[0].append(np.r_[np.zeros(len(own.hashes), np.int8), np.int8(1), np.full(len(grams) + len(other), 2, np.int8)])
+            found[1].append(np.r_[own.hashes, 0, grams.view(np.int64), other.view(np.int64)])
+            found[2].append(np.r_[np.bincount(own.codes, minlength=len(own.hashes)), held.count(False), n, np.zeros(len(other))].astype(np.int64))
+            if sum(map(len, found[1])) > HELD:
+                found = _combined(*found)
+                if sum(map(len, found[1])) > HELD // 2:
+                    yield from rows()
+                    found = ([], [], [])
+    if found[0]:
+        found = _combined(*found)
+        yield from rows()
 
 
 def _low(key: Column, size: int) -> Column:
@@ -131,6 +162,14 @@ def frequent(rows: DataFrame, most: int) -> DataFrame:
     return rows.where(F.lit(False)) if least is None else rows.where("n > 0").where(step >= least)
 
 
+def _sorted(rows: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, with their values."""
+    found = rows.select("key", value).toArrow()
+    keys, values = found.column("key").to_numpy(), found.column(value).to_numpy()
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
 def _lookup(names: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places in sorted names, and whether they are there."""
     if not len(names):
@@ -153,7 +192,7 @@ def _score(batches: Iterator[pa.RecordBatch], sent: Broadcast, totals: tuple, de
     (names, counts, grams, scores), (n_all, v, ends) = sent.value, totals
     log_all = np.log10(n_all + 0.1 * (v + 1))
     for batch in batches:
-        for rows in byte_slices(batch, "text", 5_000_000):
+        for rows in byte_slices(batch, "text", 2_500_000):
             own = Slice(as_bytes(rows.column("text")), depth)
             doc = np.repeat(np.arange(rows.num_rows), own.n_words)
             at, known = _lookup(names, own.hashes)
@@ -198,9 +237,7 @@ def score_texts(docs: DataFrame, *, depth: int = DEPTH, least: int = LEAST, dive
 
     words = counts.where("kind = 0").select("key", "n")
     grams = gram_scores(counts.where("kind = 2").select("key", "n"), depth, least, divergence, alpha)
-    top, best = frequent(words, common).toPandas().sort_values("key"), frequent(grams, common).toPandas().sort_values("key")  # at most `common` rows each
-    sent = spark.sparkContext.broadcast((top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64), best["key"].to_numpy(np.int64), best["score"].to_numpy(np.float64)))
-    del top, best
+    sent = spark.sparkContext.broadcast((*_sorted(frequent(words, common), "n"), *_sorted(frequent(grams, common), "score")))  # at most `common` rows each
 
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     schema = f"_row bigint, kind tinyint, key bigint, tf int, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, doc_id {id_type}"
