@@ -1,6 +1,7 @@
 """python -m lodestone STAGE SETTINGS: one stage of a run, or all of them (`run`); the settings are a YAML or JSON file.
 
-Besides: ingest (how the corpus is read), card, graph (--format dot or json), review (--queue all, parents or align), tasks (--type, --result).
+Besides: ingest (how the corpus is read), card, graph (--format dot or json), review (--queue all, parents or align), tasks (--type, --result),
+serve (--host, --port).
 """
 
 from __future__ import annotations
@@ -15,15 +16,18 @@ def main(argv: list[str] | None = None) -> int:
     from lodestone.operators.graph import dot_lines, json_lines, review
     from lodestone.operators.tasks import chosen, labels_of
     from lodestone.plans.run import STAGES, MissingStage, Run
+    from lodestone.serve import server
 
     parser = argparse.ArgumentParser(prog="lodestone")
-    parser.add_argument("stage", choices=[*STAGES, "run", "ingest", "card", "graph", "review", "tasks"])
+    parser.add_argument("stage", choices=[*STAGES, "run", "ingest", "card", "graph", "review", "tasks", "serve"])
     parser.add_argument("settings")
     parser.add_argument("--no-resume", action="store_true")
     parser.add_argument("--format", choices=["dot", "json"], default="dot")
     parser.add_argument("--queue", choices=["all", "parents", "align"], default="all")
     parser.add_argument("--type", default="all")
     parser.add_argument("--result", default="all")
+    parser.add_argument("--host", default="127.0.0.1")
+    parser.add_argument("--port", type=int, default=7860)
     own = parser.parse_args(argv)
     with open(own.settings, encoding="utf-8") as f:
         raw = f.read()
@@ -53,6 +57,8 @@ def main(argv: list[str] | None = None) -> int:
         elif own.stage == "tasks":
             for r in labels_of(chosen(run.read("verified", "verify"), own.type, own.result)).orderBy("task_id").toLocalIterator():
                 print(r.label)
+        elif own.stage == "serve":
+            server(run.spark, settings, own.host, own.port).serve_forever()
         elif own.stage == "card":
             print(run.card())
         else:

@@ -1,4 +1,6 @@
 import json
+import threading
+import urllib.request
 
 import pytest
 
@@ -8,6 +10,7 @@ from lodestone.plans import artifacts
 from lodestone.plans.model import ManagedModel, ScriptedModel
 from lodestone.plans.retrieve import retrieve_materials, targets
 from lodestone.plans.run import MissingStage, Run, settings_hash, settings_of
+from lodestone.serve import page, server
 from lodestone.sources.search import SourceError
 
 
@@ -51,6 +54,14 @@ def test_run(spark, tmp_path, capsys):
     loaded = load_graph(spark, settings["workdir"])
     assert {r.id: r.level for r in loaded["nodes"].collect()} == {r.id: r.level for r in run.nodes().collect()}
     assert load_materials(spark, settings["workdir"]).count() > 0 and load_sample_bundles(spark, settings["workdir"]).count() == len({r.bundle_id for r in done})
+    for path, want in (("/", "verified"), ("/table/nodes", "soil"), ("/tasks?type=atomic_qa", "atomic_qa/"), (f"/task/{done[0].task_id}", "rubric")):
+        status, body = page(run, path)
+        assert status == 200 and want in body
+    assert page(run, "/table/none")[0] == page(run, "/task/none")[0] == page(run, "/task/x'--")[0] == 404
+    web = server(spark, settings, port=0)
+    threading.Thread(target=web.serve_forever, daemon=True).start()
+    assert b"soil" in urllib.request.urlopen(f"http://127.0.0.1:{web.server_address[1]}/table/nodes").read()
+    web.shutdown()
     (tmp_path / "s.json").write_text(json.dumps(settings))
     for words in (["graph", "--format", "json"], ["review", "--queue", "parents"], ["tasks", "--type", "atomic_qa"], ["card"], ["ingest"]):
         assert main([words[0], str(tmp_path / "s.json"), *words[1:]]) == 0
