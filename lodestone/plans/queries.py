@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import text as T
 from lodestone.operators import graph, report, retrieval, sampling, tasks
+from lodestone.plans.retrieve import targets
+from lodestone.sources.corpus import ExtractionSpec, record_text
 
 DERIVED = {
     "kg_nodes": """
@@ -325,6 +327,23 @@ def query_shapes(s, d):
     return retrieval.query_shapes(every).withColumn("queries", F.array_join("queries", "|"))
 
 
+@query("SELECT event_id, CASE event_id % 5 WHEN 0 THEN event_type WHEN 1 THEN concat(event_type, chr(10), 'last') WHEN 2 THEN concat('x', chr(10), event_type) ELSE event_type END AS text FROM events WHERE event_id % 5 <> 3")
+def record_texts(s, d):
+    """Fields by path, objects in order of names, arrays, and records without text."""
+    spec = ExtractionSpec("jsonl", ("body", "meta.items.1", "meta.list"), "pages")
+    kind = F.col("event_id") % 5
+    body = lambda text: F.format_string(text, "event_type")
+    raw = F.when(kind == 0, body('{"body": " %s\\n"}')).when(kind == 1, body('{"body": "", "pages": {"2": "last", "1": "%s", "3": 4}}')).when(kind == 2, body('{"meta": {"list": ["x", "", "%s"]}}')).when(kind == 3, F.col("props")).otherwise(body('{"body": 5, "meta": {"items": [0, "%s"]}}'))
+    return table(s, d, "events").select("event_id", record_text(F.try_parse_json(raw), spec).alias("text")).where("text is not null")
+
+
+@query("SELECT b.bundle_id, i AS id, CAST(p - 1 AS INTEGER) AS pos, coalesce(n.label, i) AS label, CASE WHEN p = 1 THEN 'top' ELSE '' END AS path, CASE WHEN intent = 'joint' THEN (SELECT string_agg(coalesce(m.label, x), '|' ORDER BY q) FROM (SELECT unnest(b.nodes) AS x, unnest(range(1, 3)) AS q) LEFT JOIN kg_nodes m ON m.id = x) ELSE '' END AS others FROM (SELECT bundle_id, intent, nodes, unnest(nodes) AS i, unnest(range(1, 3)) AS p FROM bundles) b LEFT JOIN kg_nodes n ON n.id = i")
+def retrieval_targets(s, d):
+    """The labels of bundles' nodes; some are unknown, and some have no path."""
+    own = derived(s, d, "bundles").withColumn("ancestor_paths", F.create_map(F.col("nodes")[0], F.array(F.lit("top"))))
+    return targets(own, derived(s, d, "kg_nodes")).withColumns({"path": F.array_join("path", "|"), "others": F.array_join("others", "|")})
+
+
 @query("SELECT material_id FROM materials WHERE source_type <> 'web' OR coalesce(nullif(lower(license), ''), 'unknown') IN ('unknown', 'cc-by', 'cc0', 'public-domain', 'mit', 'apache-2.0')")
 def license_filter(s, d):
     return retrieval.licensed(derived(s, d, "materials")).select("material_id")
@@ -346,10 +365,13 @@ def url_normalize(s, d):
     return table(s, d, "pages").select("page_id", T.normal_url("url").alias("url"))
 
 
-@query("""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents), g AS (SELECT doc_id, unnest(CASE WHEN len(w) < 4 THEN w ELSE [concat_ws(' ', w[i], w[i + 1], w[i + 2]) for i in range(1, len(w) - 1)] END) AS g FROM t),
+_PRINTS = """WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents), g AS (SELECT doc_id, unnest(CASE WHEN len(w) < 4 THEN w ELSE [concat_ws(' ', w[i], w[i + 1], w[i + 2]) for i in range(1, len(w) - 1)] END) AS g FROM t),
 h AS (SELECT doc_id, CAST(concat('0x', substr(md5(g), 1, 8)) AS BIGINT) AS hi, CAST(concat('0x', substr(md5(g), 9, 8)) AS BIGINT) AS lo FROM g), s AS (SELECT doc_id, b, 2 * sum((hi >> b) & 1) > count(*) AS hi, 2 * sum((lo >> b) & 1) > count(*) AS lo FROM h, (SELECT unnest(range(32)) AS b) GROUP BY doc_id, b),
-p AS (SELECT doc_id, CAST(sum(CASE WHEN hi THEN CAST(1 AS BIGINT) << b ELSE 0 END) AS BIGINT) AS hi, CAST(sum(CASE WHEN lo THEN CAST(1 AS BIGINT) << b ELSE 0 END) AS BIGINT) AS lo FROM s GROUP BY doc_id)
-SELECT doc_id, coalesce((CASE WHEN hi >= 2147483648 THEN hi - 4294967296 ELSE hi END) * 4294967296 + lo, 0) AS fp FROM documents LEFT JOIN p USING (doc_id)""")
+p AS (SELECT doc_id, CAST(sum(CASE WHEN hi THEN CAST(1 AS BIGINT) << b ELSE 0 END) AS BIGINT) AS hi, CAST(sum(CASE WHEN lo THEN CAST(1 AS BIGINT) << b ELSE 0 END) AS BIGINT) AS lo FROM s GROUP BY doc_id),
+f AS (SELECT doc_id, coalesce((CASE WHEN hi >= 2147483648 THEN hi - 4294967296 ELSE hi END) * 4294967296 + lo, 0) AS fp FROM documents LEFT JOIN p USING (doc_id))"""
+
+
+@query(_PRINTS + " SELECT doc_id, fp FROM f")
 def simhash_values(s, d):
     return table(s, d, "documents").select("doc_id", T.simhash64("text").alias("fp"))
 
@@ -364,7 +386,15 @@ def hamming_pairs(s, d):
     return retrieval.near_pairs(table(s, d, "embeddings").select(F.col("vec_id").alias("id"), bits.alias("fp")))
 
 
-@query()
+@query(_NORMAL + "SELECT page_id, bundle_id FROM (SELECT n.page_id, concat('b', p.page_id % 10) AS bundle_id, row_number() OVER (PARTITION BY p.page_id % 10, n.url ORDER BY p.page_id) AS r FROM n JOIN pages p ON p.page_id = n.page_id) WHERE r = 1")
+def dedup_in_bundles(s, d):
+    own = table(s, d, "pages").select("page_id", F.col("page_id").alias("ord"), F.concat(F.lit("b"), F.col("page_id") % 10).alias("bundle_id"), F.col("url").alias("uri"), F.lit(None).cast("string").alias("path"), F.col("page_id").cast("string").alias("material_id"))
+    return retrieval.deduplicated(own, "url").select("page_id", "bundle_id")
+
+
+@query("WITH RECURSIVE " + _PRINTS[5:] + """, o AS (SELECT doc_id AS id, fp, row_number() OVER (ORDER BY doc_id) AS r FROM f),
+k AS (SELECT CAST(0 AS BIGINT) AS r, CAST([] AS BIGINT[]) AS kept, false AS took UNION ALL SELECT o.r, CASE WHEN near THEN kept ELSE list_append(kept, fp) END, NOT near FROM (SELECT o.r, o.fp, k.kept, len(list_filter(k.kept, lambda x: bit_count(xor(x, o.fp)) <= 3)) > 0 AS near FROM k JOIN o ON o.r = k.r + 1) o)
+SELECT id FROM k JOIN o USING (r) WHERE took""")
 def simhash_dedup(s, d):
     prints = table(s, d, "documents").select(F.col("doc_id").alias("id"), T.simhash64("text").alias("fp"))
     return retrieval.keep_first_near(prints)
@@ -419,6 +449,11 @@ def min_docs_gate(s, d):
     return tasks.gate(typed.unionByName(own), linked, tasks.task_types(s)).select("bundle_id", "task_type", "n_materials", "enough")
 
 
+@query("SELECT bundle_id, CASE WHEN n_nationkey % 3 = 0 THEN '根据现有检索到的材料，信息不足，无法可靠回答该问题。' ELSE 'The retrieved materials do not contain enough information to answer this question reliably.' END AS answer FROM (SELECT bundle_id, n_nationkey FROM bundles JOIN nation ON bundle_id = concat('b', n_nationkey))")
+def reject_answers(s, d):
+    return derived(s, d, "bundles").select("bundle_id", tasks.reject_answer(F.when(F.col("intent") == "joint", "zh").otherwise("zh-CN")).alias("answer"))
+
+
 @query("SELECT bundle_id, CASE WHEN intent = 'joint' THEN concat('请介绍：', array_to_string(nodes, '、'), '。') ELSE concat('Explain: ', array_to_string(nodes, ', '), '.') END AS question FROM bundles")
 def reject_sample(s, d):
     return derived(s, d, "bundles").select("bundle_id", tasks.reject_task(F.col("nodes"), F.when(F.col("intent") == "joint", "zh").otherwise("en")).alias("question"))
