@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,6 +16,16 @@ from lodestone.plans.durable import shared_dir
 __all__ = ["as_bytes", "byte_slices", "connected_components", "materialize", "shared_dir"]
 
 
+_LIBC = ctypes.CDLL(None)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, as a worker serves many tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def byte_slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into runs of rows whose column has about `most` bytes at most, so that memory doesn't follow the batch's size."""
     at, n, col = 0, batch.num_rows, batch.column(column)
@@ -27,7 +38,7 @@ def byte_slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> It
         total += sizes[i]
     if n > at:
         yield batch.slice(at, n - at)
-    pa.default_memory_pool().release_unused()  # a worker serves many tasks
+    give_back()
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

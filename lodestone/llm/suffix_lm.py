@@ -35,7 +35,7 @@ from lodestone.llm.common import as_bytes, byte_slices, materialize
 
 DEPTH, LEAST, DIVERGENCE, ALPHA, FOLDS, COMMON = 5, 4, 0.02, 8.0, 10, 700_000
 #: Counts that a task holds.
-HELD = 3_000_000
+HELD = 1_000_000
 END = 10  # a byte that no word holds
 
 
