@@ -79,20 +79,19 @@ class BestMatches:
         self.n, self.k, self.digits = n_queries, k, digits
         self.best: list[list[tuple]] = [[] for _ in range(n_queries)]
 
-    def show(self, keys: list, terms: list[np.ndarray], weights: list[np.ndarray], norms: np.ndarray) -> None:
-        first = 0
+    def show(self, keys: list, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray, norms: np.ndarray) -> None:
+        """Rows by keys, how many terms each has, and their terms and weights one after the other."""
+        ends = np.cumsum(sizes)
+        first, most = 0, max(1, 4_000_000 // max(1, self.n))
         while first < len(keys):  # blocks of rows with a bounded number of products
-            last, size = first, 0
-            while last < len(keys) and (last == first or size < self.BLOCK):
-                size += len(terms[last])
-                last += 1
-            last = min(last, first + max(1, 4_000_000 // max(1, self.n)))
-            self._show(keys[first:last], terms[first:last], weights[first:last], norms[first:last])
+            begin = int(ends[first] - sizes[first])
+            last = max(first + 1, min(first + most, int(np.searchsorted(ends, begin + self.BLOCK))))
+            own = slice(begin, int(ends[last - 1]))
+            self._show(keys[first:last], sizes[first:last], terms[own], weights[own], norms[first:last])
             first = last
 
-    def _show(self, keys: list, terms: list[np.ndarray], weights: list[np.ndarray], norms: np.ndarray) -> None:
-        row = np.repeat(np.arange(len(keys)), np.fromiter(map(len, terms), np.int64, len(terms)))
-        t, w = np.concatenate(terms).astype(np.int64), np.concatenate(weights)
+    def _show(self, keys: list, sizes: np.ndarray, t: np.ndarray, w: np.ndarray, norms: np.ndarray) -> None:
+        row = np.repeat(np.arange(len(keys)), sizes)
         dot, hit = np.zeros(len(keys) * self.n), np.zeros(len(keys) * self.n, bool)
         many = self.at[t + 1] - self.at[t]
         ends = np.cumsum(many)
@@ -101,7 +100,9 @@ class BestMatches:
             own = many[a:b]
             place = np.repeat(self.at[t[a:b]] - (ends[a:b] - own), own) + np.arange(ends[a] - own[0], ends[b - 1])
             cell = np.repeat(row[a:b], own) * self.n + self.q[place]
-            np.add.at(dot, cell, np.repeat(w[a:b], own) * self.w[place])
+            dot += np.bincount(cell, np.repeat(w[a:b], own) * self.w[place], len(dot)) if len(cell) > len(dot) // 8 else 0
+            if len(cell) <= len(dot) // 8:
+                np.add.at(dot, cell, np.repeat(w[a:b], own) * self.w[place])
             hit[cell] = True
         score = np.round(dot.reshape(len(keys), self.n) / norms[:, None], self.digits)
         hit = hit.reshape(len(keys), self.n)

@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -28,8 +29,8 @@ def chunk_rows(docs: DataFrame, size: int = 800, overlap: int = 100, key: str =
 
 
 def postings(texts: DataFrame, key: str = "chunk_id") -> DataFrame:
-    """(key, term, tf)"""
-    return texts.select(key, F.explode(tokens(F.col("text"))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    """(key, term, tf). Texts are dealt by their keys, so their terms are counted where they are."""
+    return texts.select(key, "text").repartition(key).select(key, F.explode(tokens(F.col("text"))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def inverse_frequencies(posted: DataFrame, n_chunks: int) -> DataFrame:
@@ -59,20 +60,19 @@ def _best(docs: DataFrame, key: str, asked: DataFrame, k: int, digits: int) -> D
         qids, terms = sorted(own["qid"].unique().tolist()), {t: i for i, t in enumerate(sorted(own["term"].unique().tolist()))}
         number = {x: i for i, x in enumerate(qids)}
         queries = (own["qid"].map(number).to_numpy(np.int64), own["term"].map(terms).to_numpy(np.int64), own["w"].to_numpy(np.float64))
-        sent = docs.sparkSession.sparkContext.broadcast((queries, len(qids), terms))
+        sent = docs.sparkSession.sparkContext.broadcast((queries, len(qids), pa.array(list(terms), to_arrow_type(asked.schema["term"].dataType))))
 
         def match(batches: Iterator[pa.RecordBatch], sent=sent, qids=qids) -> Iterator[pa.RecordBatch]:
             queries, n, known = sent.value
             best = BestMatches(queries, n, len(known), k, digits)
             for batch in batches:
-                keys, ts, ws = [], [], []
-                for x, row in zip(batch.column(key).to_pylist(), batch.column("ts").to_pylist(), strict=True):
-                    pairs = [(known[r["term"]], r["w"]) for r in row if r["term"] in known]
-                    keys.append(x)
-                    ts.append(np.array([p[0] for p in pairs], np.int64))
-                    ws.append(np.array([p[1] for p in pairs], np.float64))
-                if keys and n:
-                    best.show(keys, ts, ws, batch.column("norm").to_numpy())
+                flat = batch.column("ts").flatten()
+                code = pc.fill_null(pc.index_in(pc.struct_field(flat, "term"), known), -1).to_numpy()
+                mine = code >= 0
+                row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column("ts")).to_numpy())
+                sizes = np.bincount(row[mine], minlength=batch.num_rows)
+                if batch.num_rows and n:
+                    best.show(batch.column(key).to_pylist(), sizes, code[mine].astype(np.int64), pc.struct_field(flat, "w").to_numpy()[mine], batch.column("norm").to_numpy())
             q, keys, scores = best.found()
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(([qids[i] for i in q], keys, scores), kinds, strict=True)], names=["qid", key, "score"])
 
