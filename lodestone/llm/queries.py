@@ -28,7 +28,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pii.span_digest(_table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
+    return rows.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans", "n_spans", "n_secret", "secrets")
 
 
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
