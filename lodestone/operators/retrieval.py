@@ -210,9 +210,13 @@ def near_in_groups(ids: DataFrame, radius: int) -> DataFrame:
     return pairs.where(hamming(F.col("fp"), F.col("g")) <= radius).select("a", "b")
 
 
-def rerank(materials: DataFrame, description: Column) -> DataFrame:
-    """With score, the share of the description's distinct tokens that a material has; 0 for an empty description."""
-    asked = F.array_distinct(tokens(description))
+def asked_tokens(description: Column) -> Column:
+    """The distinct tokens of a description; to be made once for each description, before materials are joined to it."""
+    return F.array_distinct(tokens(description))
+
+
+def rerank(materials: DataFrame, asked: Column) -> DataFrame:
+    """With score, the share of the asked tokens (see asked_tokens) that a material has; 0 if none are asked."""
     own = F.array_distinct(tokens(F.concat_ws(" ", "title", "snippet", "text")))
     return materials.withColumn("score", F.when(F.size(asked) > 0, F.size(F.array_intersect(own, asked)) / F.size(asked)).otherwise(F.lit(0.0)))
 

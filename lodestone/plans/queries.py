@@ -404,6 +404,7 @@ def simhash_dedup(s, d):
 def rerank_overlap(s, d):
     """The whole benchmark as the description."""
     asked = table(s, d, "benchmark").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "text"))), lambda x: x["text"]), " ").alias("asked"))
+    asked = asked.select(retrieval.asked_tokens(F.col("asked")).alias("asked"))
     own = derived(s, d, "materials").crossJoin(F.broadcast(asked))  # one row
     return retrieval.rerank(own, F.col("asked")).select("material_id", F.round("score", 6).alias("score"))
 

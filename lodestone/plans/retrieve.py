@@ -60,6 +60,7 @@ def retrieve_materials(bundles: DataFrame, nodes: DataFrame, chunks: DataFrame |
     kept = retrieval.deduplicated(retrieval.licensed(found, settings["license"]), settings["dedup"])
     if settings["rerank"] != "none":
         described = own.join(nodes.select("id", "description"), "id", "left").groupBy("bundle_id").agg(F.array_join(F.collect_list(F.coalesce("description", F.lit(""))), " ").alias("asked"))
+        described = described.withColumn("asked", retrieval.asked_tokens(F.col("asked")))
         kept = retrieval.rerank(kept.join(described, "bundle_id"), F.col("asked")).drop("asked")
         kept = kept.withColumn("quality_score", F.greatest("quality_score", "score")).drop("score")
     first = F.struct("bundle_id", "ord")
