@@ -86,7 +86,7 @@ def write_token_blocks(
         doc_ids, found, size = [], [], 0
         for batch in batches:
             kind = batch.schema.field("doc_id").type
-            for rows in byte_slices(batch, "text", 2_500_000):
+            for rows in byte_slices(batch, "text", 2_500_000, (tokenizer_path, spaced)):
                 for doc, ids in zip(rows.column("doc_id").to_pylist(), encode(rows.column("text")), strict=True):
                     if found and size + len(ids) // 4 + 1 > block_tokens:
                         yield flush(doc_ids, found)

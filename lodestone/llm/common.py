@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -13,10 +14,19 @@ from pyspark.sql import functions as F
 from lodestone.plans.durable import durable as materialize
 from lodestone.plans.durable import shared_dir
 
-__all__ = ["as_bytes", "byte_slices", "connected_components", "materialize", "shared_dir"]
+__all__ = ["as_bytes", "byte_slices", "connected_components", "give_back", "kept", "materialize", "shared_dir"]
 
 
 _LIBC = ctypes.CDLL(None)
+_KEPT: dict[tuple, Any] = {}
+
+
+def kept(key: tuple, make: Callable[[], Any]) -> Any:
+    """What a worker process keeps between tasks under a key: one thing at a time, until byte_slices is called without its key."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def give_back() -> None:
@@ -26,8 +36,14 @@ def give_back() -> None:
         _LIBC.malloc_trim(0)
 
 
-def byte_slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Cuts a batch into runs of rows whose column has about `most` bytes at most, so that memory doesn't follow the batch's size."""
+def byte_slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000, key: tuple | None = None) -> Iterator[pa.RecordBatch]:
+    """Cuts a batch into runs of rows whose column has about `most` bytes at most, so that memory doesn't follow the batch's size.
+
+    What another operator has `kept` in this process goes first; `key` is that of the caller's own.
+    """
+    if _KEPT and key not in _KEPT:
+        _KEPT.clear()
+        give_back()
     at, n, col = 0, batch.num_rows, batch.column(column)
     sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_pylist()
     total = 0

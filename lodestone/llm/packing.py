@@ -83,7 +83,7 @@ def pack_documents(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, seen = encoder(tokenizer_path, spaced).encode, TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows in byte_slices(batch, "text", 2_500_000):
+            for rows in byte_slices(batch, "text", 1_000_000, (tokenizer_path, spaced)):
                 out: list[list] = [[] for _ in range(7)]
                 keys = (_mix(seed, part, rows.num_rows, seen) % np.uint64(groups)).astype(np.int64).tolist()
                 seen += rows.num_rows

@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import byte_slices
+from lodestone.llm.common import byte_slices, give_back
 
 BUCKETS, DIMENSIONS, GRAMS, FOLDS, TRAIN_ROWS, EPOCHS, RATE, CUT = 1 << 18, 8, (3, 4), 5, 4000, 12, 1.0, 0.3
 _KIND = np.array([4 if c < 48 else 2 if c < 58 else 4 if c < 65 else 0 if c < 91 else 4 if c < 97 else 1 if c < 123 else 4 if c < 128 else 3 for c in range(256)], np.uint8)
@@ -41,10 +41,19 @@ def _hash(x: np.ndarray, salt: int) -> np.ndarray:
 
 #: The first numbers are features of their own.
 AGAIN, SAME_LINE, NOTHING = 1, 2, 3
+#: Bytes of words whose features are made at once, about; each takes some 150 bytes of memory meanwhile.
+BLOCK = 100_000
 
 
 def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Features of each word (a large_binary array), one after the other, and how many each has."""
+    ends = np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 2)
+    cuts = np.flatnonzero(np.diff(ends // BLOCK)) + 1
+    found = [_block_features(words.slice(a, b - a)) for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(words)], strict=True)]
+    return np.concatenate([c for c, _ in found]), np.concatenate([n for _, n in found])
+
+
+def _block_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     raw = np.frombuffer(b"".join(words.to_pylist()), np.uint8)
     # each word between a 2 and a 3, which no word holds
@@ -78,7 +87,7 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         codes.append((np.arange(len(sizes)), _hash(shape, 0)))
     word, code = np.concatenate([w for w, _ in codes]), np.concatenate([c for _, c in codes])
     order = np.argsort(word, kind="stable")
-    return code[order], np.bincount(word, minlength=len(sizes))
+    return code[order].astype(np.int32), np.bincount(word, minlength=len(sizes))
 
 
 _SPACE = [b"\t", b"\r", b"\x0b", b"\x0c", b"\x02", b"\x03"]
@@ -141,7 +150,7 @@ def train(features: list[np.ndarray], weights: list[np.ndarray], labels: np.ndar
     rng = np.random.default_rng(seed)
     vectors = ((rng.random((BUCKETS, DIMENSIONS)) - 0.5) * 2 / DIMENSIONS).astype(np.float32)
     out, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
-    weights = [w.astype(np.float32) for w in weights]
+    weights = [w.astype(np.float32, copy=False) for w in weights]
     steps, step = EPOCHS * len(labels), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(len(labels)).tolist():
@@ -177,6 +186,8 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if seen:
         seen.sort(key=lambda x: (x[0], x[1], x[2].tobytes()))  # the rows' order decides the order of training
         value, bias = train([x[2] for x in seen], [x[3] for x in seen], np.array([x[1] for x in seen]))
+        seen.clear()
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array([value.tobytes()], pa.binary()), pa.array([bias], pa.float64())], names=["value", "bias"])
 
 

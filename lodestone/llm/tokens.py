@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from lodestone.llm.common import kept
+
 _WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: A space next to white space, where a cut at the space could change how the pattern splits the text.
 _RUN = f" {_WHITE}|{_WHITE} "
@@ -142,11 +144,6 @@ class PieceEncoder:
         return out
 
 
-_ENCODERS: dict[tuple, PieceEncoder] = {}
-
-
 def encoder(path: str, spaced: bool) -> PieceEncoder:
-    """One encoder for each worker process, which serves all its tasks."""
-    if (path, spaced) not in _ENCODERS:
-        _ENCODERS[path, spaced] = PieceEncoder(path, spaced)
-    return _ENCODERS[path, spaced]
+    """The encoder of a worker process, which serves its tasks until another operator runs there; `kept` has it under this call's arguments."""
+    return kept((path, spaced), lambda: PieceEncoder(path, spaced))

@@ -1,17 +1,21 @@
 import hashlib
 import math
 import re
+import tracemalloc
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import make_docs
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, html_extract, pii, quality, suffix_lm
+from lodestone.llm import common, decontaminate, html_extract, pii, quality, suffix_lm, tokens
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -248,6 +252,36 @@ def test_quality(spark, edge_texts):
     assert quality.score_quality(make_docs(spark, []), frame).collect() == []
 
 
+def test_features_come_block_by_block(monkeypatch):
+    words = pa.array([b"", b"one", b"x" * 700, "Ä1".encode(), *[b"w%dz" % (i * i) for i in range(500)], b"one"], pa.large_binary())
+    code, sizes = quality.word_features(words)
+    for block in (50, 10**9):
+        monkeypatch.setattr(quality, "BLOCK", block)
+        again = quality.word_features(words)
+        assert np.array_equal(again[0], code) and np.array_equal(again[1], sizes)
+    monkeypatch.undo()
+    many = pa.array([b"%07d" % i for i in range(130_000)], pa.large_binary())
+    tracemalloc.start()
+    quality.word_features(many)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+
+
+def test_other_operators_free_the_encoder():
+    key = (public_tokenizers.path("byte_bpe_50k.json"), True)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["one two", "three"]})
+    own = weakref.ref(tokens.encoder(*key))
+    assert sum(x.num_rows for x in common.byte_slices(batch, "text", 3, key)) == 2
+    assert own() is not None and tokens.encoder(*key) is own()
+
+    class Model:
+        value = (np.zeros(quality.BUCKETS, np.float32), 0.0)
+
+    assert sum(x.num_rows for x in quality._score(iter([batch]), Model, 5)) == 2
+    assert own() is None
+
+
 def test_pages(spark):
     model, make, wrong, total = html_extract.trained(), html_extract.Pages(1234), 0, 0
     for _ in range(100):
