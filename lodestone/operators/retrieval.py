@@ -147,26 +147,34 @@ def near_pairs(prints: DataFrame, radius: int = 3) -> DataFrame:
     band = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(m)).alias("v")) for i, m in enumerate(tables)])).alias("band")
     one = prints.groupBy("fp").agg(F.min("id").alias("id")).select("id", "fp", band)
     other = one.select(F.col("id").alias("b"), F.col("fp").alias("g"), "band")
-    near = one.select(F.col("id").alias("a"), "fp", "band").join(other, "band").where("a < b").where(hamming(F.col("fp"), F.col("g")) <= radius)
+    # never by broadcast: sizes of tables are estimated without what explode makes of them
+    near = one.select(F.col("id").alias("a"), "fp", "band").join(other.hint("merge"), "band").where("a < b").where(hamming(F.col("fp"), F.col("g")) <= radius)
     return near.select("a", "b", hamming(F.col("fp"), F.col("g")).alias("d")).distinct()
 
 
 def keep_first_near(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """Ids that a pass in order of id keeps: those within the radius of no kept smaller id. Equal fingerprints have one candidate.
+    """Ids that a pass in order of id keeps: those within the radius of no kept smaller id. Equal fingerprints have one candidate."""
+    nodes = durable(prints.groupBy("fp").agg(F.min("id").alias("id")), "prints")
+    return _keep_first(nodes.select("id"), near_pairs(nodes, radius).select("a", "b"), "pairs")
+
+
+def _keep_first(ids: DataFrame, pairs: DataFrame, tag: str) -> DataFrame:
+    """Ids that a pass in order keeps, from pairs (a, b) of near ids with a < b.
 
-    Each round decides the smallest open id at least, and all that no open smaller id is near to; rounds go on until none is open.
+    Each round decides the smallest open id at least, and all that no open smaller id is near to; rounds go on until no pair of open ids is
+    left. All that a round joins comes from the pairs that are left, so ids that are near to none are only read once.
     """
-    nodes = durable(prints.groupBy("fp").agg(F.min("id").alias("id")), "prints")
-    edges = durable(near_pairs(nodes, radius), "pairs")
-    open_, kept = nodes.select("id"), None
+    open_, kept, pairs = ids, None, durable(pairs, tag)
     while True:
-        blocked = edges.join(open_.select(F.col("id").alias("a")), "a", "left_semi").join(open_.select(F.col("id").alias("b")), "b", "left_semi").select(F.col("b").alias("id")).distinct()
-        now = durable(open_.join(blocked, "id", "left_anti"), "kept")
+        blocked = durable(pairs.select(F.col("b").alias("id")).distinct(), f"{tag}-blocked")
+        now = open_.join(blocked, "id", "left_anti")
         kept = now if kept is None else kept.unionByName(now)
-        gone = edges.join(now.select(F.col("id").alias("a")), "a", "left_semi").select(F.col("b").alias("id")).distinct()
-        open_ = durable(open_.join(now, "id", "left_anti").join(gone, "id", "left_anti"), "open")
-        if open_.isEmpty():
+        if blocked.isEmpty():
             return kept
+        gone = pairs.join(blocked.select(F.col("id").alias("a")), "a", "left_anti").select(F.col("b").alias("id")).distinct()
+        open_ = durable(blocked.join(gone, "id", "left_anti"), f"{tag}-open")
+        pairs = pairs.join(open_.select(F.col("id").alias("a")), "a", "left_semi").join(open_.select(F.col("id").alias("b")), "b", "left_semi")
+        pairs = durable(pairs.select("a", "b"), tag)
 
 
 def deduplicated(materials: DataFrame, mode: str = "simhash", *, by: str = "bundle_id", radius: int = 3) -> DataFrame:
@@ -185,24 +193,10 @@ def deduplicated(materials: DataFrame, mode: str = "simhash", *, by: str = "bund
     prints = durable(materials.select(F.col(by).alias("_by"), "ord", simhash64(text).alias("fp")), "material-prints")
     # a bundle's own place in the fingerprint's space: near pairs of other bundles are left out where they meet
     ids = durable(prints.withColumn("id", F.struct("_by", "ord")), "material-ids")
-    kept = _keep_first_in_groups(ids, radius)
+    kept = _keep_first(ids.select("id"), near_in_groups(ids, radius), "group-pairs")
     return materials.join(kept.select(F.col("id._by").alias(by), F.col("id.ord").alias("ord")), [by, "ord"], "left_semi")
 
 
-def _keep_first_in_groups(ids: DataFrame, radius: int) -> DataFrame:
-    """keep_first_near inside each group of id._by."""
-    near = durable(near_in_groups(ids, radius), "group-pairs")
-    open_, kept = ids.select("id"), None
-    while True:
-        blocked = near.join(open_.withColumnRenamed("id", "a"), "a", "left_semi").join(open_.withColumnRenamed("id", "b"), "b", "left_semi").select(F.col("b").alias("id")).distinct()
-        now = durable(open_.join(blocked, "id", "left_anti"), "group-kept")
-        kept = now if kept is None else kept.unionByName(now)
-        gone = near.join(now.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct()
-        open_ = durable(open_.join(now, "id", "left_anti").join(gone, "id", "left_anti"), "group-open")
-        if open_.isEmpty():
-            return kept
-
-
 def near_in_groups(ids: DataFrame, radius: int) -> DataFrame:
     """(a, b) of ids with a < b of one group within the radius; a group is a bundle's materials, a few at most."""
     other = ids.select(F.col("_by"), F.col("id").alias("b"), F.col("fp").alias("g"))

@@ -193,3 +193,19 @@ def test_empty_reports(spark):
     none = spark.createDataFrame([], "task_id string, question string, materials array<string>, nodes array<string>")
     assert report.jaccard_mean(none).first()[0] == 0.0
     assert report.material_reuse(none).first().reuse_rate == 0.0
+
+
+def test_near_pairs_are_not_broadcast(spark):
+    prints = spark.range(50).select("id", F.xxhash64("id").alias("fp"))
+    assert "Broadcast" not in retrieval.near_pairs(prints)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_of_near_ones_in_chains(spark):
+    rows = [(i, (1 << i % 20 + 1) - 1) for i in (4, 1, 7, 9, 2, 30, 31, 12, 55)] + [(100, 1 << 60), (3, -1), (None, 1 << 40 | 1 << 50)]
+    kept, ids = [], sorted(i for i, _ in rows if i is not None)
+    bits = {i: fp & (2**64 - 1) for i, fp in rows}
+    for i in ids:
+        if all((bits[i] ^ bits[j]).bit_count() > 3 for j in kept):
+            kept.append(i)
+    got = [r.id for r in retrieval.keep_first_near(spark.createDataFrame(rows, "id long, fp long")).collect()]
+    assert sorted(x for x in got if x is not None) == kept and None in got
