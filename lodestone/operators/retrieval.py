@@ -29,8 +29,26 @@ def chunk_rows(docs: DataFrame, size: int = 800, overlap: int = 100, key: str =
 
 
 def postings(texts: DataFrame, key: str = "chunk_id") -> DataFrame:
-    """(key, term, tf). Texts are dealt by their keys, so their terms are counted where they are."""
-    return texts.select(key, "text").repartition(key).select(key, F.explode(tokens(F.col("text"))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    """(key, term, tf). The terms of a text are counted in its row, so a task's memory is that of a text; only rows of repeated keys are added up.
+
+    Texts are dealt by their keys, for as many tasks as there are cores.
+    """
+    own = texts.select(key, "text").repartition(key)
+    repeated = durable(texts.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(F.col(key).alias("_again")), "repeated-keys")
+    if repeated.isEmpty():
+        return _counted(own, key)
+    same = own[key].eqNullSafe(repeated["_again"])
+    added = _counted(own.join(repeated, same, "left_semi"), key).groupBy(key, "term").agg(F.sum("tf").alias("tf"))
+    return _counted(own.join(repeated, same, "left_anti"), key).unionByName(added)
+
+
+def _counted(texts: DataFrame, key: str) -> DataFrame:
+    """(key, term, tf) of each row by itself: runs in its sorted terms."""
+    own = texts.select(key, F.sort_array(tokens(F.col("text"))).alias("_t"))
+    size, at = F.size("_t"), lambda i: F.get("_t", i)
+    own = own.select(key, "_t", F.when(size > 0, F.filter(F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (at(i) != at(i - 1)))).alias("_first"))
+    run = F.transform("_first", lambda i, k: F.struct(at(i).alias("term"), (F.coalesce(F.get("_first", k + 1), size) - i).cast("long").alias("tf")))
+    return own.select(key, F.inline(run))
 
 
 def inverse_frequencies(posted: DataFrame, n_chunks: int) -> DataFrame:

@@ -209,3 +209,21 @@ def test_first_of_near_ones_in_chains(spark):
             kept.append(i)
     got = [r.id for r in retrieval.keep_first_near(spark.createDataFrame(rows, "id long, fp long")).collect()]
     assert sorted(x for x in got if x is not None) == kept and None in got
+
+
+def test_postings_of_repeated_and_empty_keys(spark):
+    rows = [(1, "b a b 经济 B"), (2, "x"), (1, "a c"), (None, "n n"), (None, "n"), (3, ""), (4, None), (5, "经济学 7")]
+    want = {}
+    for k, text in rows:
+        for t in T.token_list(text):
+            want[k, t] = want.get((k, t), 0) + 1
+    for some in (rows, rows[1:3] + rows[5:]):
+        posted = retrieval.postings(spark.createDataFrame(some, "k long, text string"), "k")
+        assert posted.schema["tf"].dataType.simpleString() == "bigint"
+        got = [((r.k, r.term), r.tf) for r in posted.collect()]
+        assert len(got) == len(dict(got)) and dict(got) == {k: n for k, n in want.items() if some is rows or k[0] in (2, 5)} | ({} if some is rows else {(1, "a"): 1, (1, "c"): 1})
+
+
+def test_terms_are_counted_without_a_map_over_a_task(spark):
+    posted = retrieval.postings(spark.range(9).selectExpr("id", "concat('a b a ', id) as text"), "id")
+    assert "Aggregate" not in posted._jdf.queryExecution().executedPlan().toString()
