@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -91,10 +93,17 @@ def answer_match(answer: Column, materials: Column) -> Column:
 
 
 def rubric_mean(scores: Column, pass_score: float = 0.7) -> Column:
-    """struct(result, score): fails on null, empty or null-holding scores, else passes from a mean of pass_score."""
-    bad = scores.isNull() | (F.size(scores) == 0) | F.exists(scores, lambda x: x.isNull())
-    mean = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / F.size(scores)
-    return F.when(bad, F.struct(F.lit("fail").alias("result"), F.lit(0.0).alias("score"))).otherwise(F.struct(F.when(mean >= pass_score, "pass").otherwise("fail").alias("result"), mean.alias("score")))
+    """struct(result, score): fails on null, empty or null-holding scores, else passes from a mean of pass_score.
+
+    What passes is decided on sums of decimals of 12 digits after the point, so neither the order of scores nor the rounding of doubles decides
+    a mean that equals pass_score. Scores that no decimal holds (infinite, NaN, from 1e25) are compared as they are.
+    """
+    kind, n = "decimal(37,12)", F.size(scores)
+    bad = scores.isNull() | (n == 0) | F.exists(scores, lambda x: x.isNull())
+    mean = F.aggregate(F.array_sort(scores), F.lit(0.0), lambda a, x: a + x) / n
+    total = F.aggregate(F.transform(scores, lambda x: x.try_cast(kind)), F.lit(0).cast(kind), lambda a, x: (a + x).try_cast(kind))
+    enough = F.coalesce(total >= F.lit(Decimal(repr(float(pass_score)))) * n, mean >= pass_score)
+    return F.when(bad, F.struct(F.lit("fail").alias("result"), F.lit(0.0).alias("score"))).otherwise(F.struct(F.when(enough, "pass").otherwise("fail").alias("result"), mean.alias("score")))
 
 
 def dispatch(verify_result: Column, verifier: Column, fallback: str = "rubric_judge") -> Column:

@@ -227,3 +227,20 @@ def test_postings_of_repeated_and_empty_keys(spark):
 def test_terms_are_counted_without_a_map_over_a_task(spark):
     posted = retrieval.postings(spark.range(9).selectExpr("id", "concat('a b a ', id) as text"), "id")
     assert "Aggregate" not in posted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_means_at_the_pass_score(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [[0.1] * 3, [0.3, 0.7, 0.5], [0.7, 0.3, 0.5], [0.29, 0.71 - 2e-11, 0.5], [29.27 / 100] * 3 + [70.73 / 100] * 3, [inf, 0.0], [-inf, 1.0], [nan], [1e300, 0.2]]
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, s array<double>").orderBy("i")
+    got = [r[0].result for r in frame.select(tasks.rubric_mean(F.col("s"), 0.5)).collect()]
+    assert got == ["fail", "pass", "pass", "fail", "pass", "pass", "fail", "pass", "pass"]
+    tenths = spark.createDataFrame([([0.1] * 10,), ([0.6, 0.1, 0.1, 0.1, 0.1, 0.0, 0.0, 0.0, 0.0, 0.0],)], "s array<double>")
+    assert [r[0].result for r in tenths.select(tasks.rubric_mean(F.col("s"), 0.1)).collect()] == ["pass", "pass"]
+
+
+def test_rubric_of_events_without_value(spark, tmp_path):
+    from lodestone.plans.queries import QUERIES
+
+    spark.createDataFrame([(1, 90.0), (1, None), (2, 50.0), (3, None), (4, 40.0)], "user_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
+    assert {r.user_id: r.result for r in QUERIES["rubric_mean"](spark, str(tmp_path)).collect()} == {1: "fail", 2: "pass", 3: "fail", 4: "fail"}
