@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from lodestone.functions.blocks import give_back
+
 
 def slug(label: Column) -> Column:
     s = F.trim(F.regexp_replace(F.lower(label), r"(?U)[^\w]+", "-"), F.lit("-"))
@@ -64,20 +68,44 @@ def token_list(text: str | None) -> list[str]:
     return _ASCII.findall(low) + [t for r in pairs for t in r]
 
 
-@F.pandas_udf(LongType())
-def simhash64(texts: pd.Series) -> pd.Series:
-    """The signs of 64 summed bits of the MD5 of each token, or of each run of three tokens if there are four or more; 0 without tokens."""
+#: What a worker holds as Python objects at once: some 2 MB of text.
+SLICE_BYTES = 2_000_000
 
-    def one(text: str | None) -> int:
-        own = token_list(text)
-        grams = own if len(own) < 4 else [" ".join(own[i : i + 3]) for i in range(len(own) - 2)]
-        if not grams:
-            return 0
-        raw = b"".join(hashlib.md5(g.encode()).digest()[:8] for g in grams)
-        up = np.unpackbits(np.frombuffer(raw, np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64) * 2 > len(grams)
-        return int.from_bytes(np.packbits(up).tobytes(), "big", signed=True)
 
-    return texts.map(one).astype("int64")
+def simhash_one(text: str | None) -> int:
+    """The signs of 64 summed bits of the MD5 of each token, or of each run of three tokens if there are four or more; 0 without tokens."""
+    own = token_list(text)
+    n = len(own) if len(own) < 4 else len(own) - 2
+    if not n:
+        return 0
+    up = np.zeros(64, np.int64)
+    for at in range(0, n, 4096):
+        grams = own[at : at + 4096] if len(own) < 4 else [" ".join(own[i : i + 3]) for i in range(at, min(at + 4096, n))]
+        raw = b"".join(hashlib.md5(g.encode()).digest()[:8] for g in grams)
+        up += np.unpackbits(np.frombuffer(raw, np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(up * 2 > n).tobytes(), "big", signed=True)
+
+
+def slices_of(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Runs of rows (from, to) with `most` bytes at most, or one row."""
+    out, first, total = [], 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if total and total + n > most:
+            out.append((first, i))
+            first, total = i, 0
+        total += n
+    return [*out, (first, len(sizes))] if len(sizes) else out
+
+
+@F.arrow_udf(LongType())
+def simhash64(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """simhash_one of each text. Texts become Python objects in slices, so that memory doesn't follow the batch's size."""
+    for batch in batches:
+        found = np.zeros(len(batch), np.int64)
+        for a, b in slices_of(pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False), SLICE_BYTES):
+            found[a:b] = [simhash_one(x) for x in batch[a:b].to_pylist()]
+        yield pa.array(found)
+        give_back()
 
 
 def hamming(a: Column, b: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -11,13 +10,13 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions.blocks import give_back
 from lodestone.plans.durable import durable as materialize
 from lodestone.plans.durable import shared_dir
 
 __all__ = ["as_bytes", "byte_slices", "connected_components", "give_back", "kept", "materialize", "shared_dir"]
 
 
-_LIBC = ctypes.CDLL(None)
 _KEPT: dict[tuple, Any] = {}
 
 
@@ -29,13 +28,6 @@ def kept(key: tuple, make: Callable[[], Any]) -> Any:
     return _KEPT[key]
 
 
-def give_back() -> None:
-    """Returns freed memory to the system, as a worker serves many tasks and stages."""
-    pa.default_memory_pool().release_unused()
-    if hasattr(_LIBC, "malloc_trim"):
-        _LIBC.malloc_trim(0)
-
-
 def byte_slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000, key: tuple | None = None) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into runs of rows whose column has about `most` bytes at most, so that memory doesn't follow the batch's size.
 

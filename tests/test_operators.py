@@ -244,3 +244,12 @@ def test_rubric_of_events_without_value(spark, tmp_path):
 
     spark.createDataFrame([(1, 90.0), (1, None), (2, 50.0), (3, None), (4, 40.0)], "user_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
     assert {r.user_id: r.result for r in QUERIES["rubric_mean"](spark, str(tmp_path)).collect()} == {1: "fail", 2: "pass", 3: "fail", 4: "fail"}
+
+
+def test_fingerprints_make_objects_of_slices_only(spark):
+    texts = ["a b c d e", None, "", "x y", "经济学 f g h " * 500, "q " * 9000]
+    want = [T.simhash_one(t) for t in texts]
+    assert want[1] == want[2] == 0 and len(set(want)) == 5
+    assert [r[0] for r in spark.createDataFrame([(t,) for t in texts * 3], "t string").coalesce(1).select(T.simhash64("t")).collect()] == want * 3
+    assert T.slices_of(np.array([5, 0, 3, 9, 0, 20, 1]), 8) == [(0, 3), (3, 4), (4, 6), (6, 7)]
+    assert T.slices_of(np.array([], int), 8) == []
