@@ -72,6 +72,47 @@ def shared_counts(sets: list[np.ndarray], n_left: int) -> np.ndarray:
     return out
 
 
+def shared_pairs(left: list[np.ndarray], right: list[np.ndarray], most: int = 2_000_000, block: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, shared) of all pairs of left and right sets that share elements, in blocks.
+
+    Elements meet one by one, up to `most` meetings at once. Where these are over 32 a pair or a set has more alone, matrix products take over.
+    """
+    if not left or not right:
+        return
+    n = len(right)
+    l_size, r_size = (np.fromiter(map(len, x), np.int64, len(x)) for x in (left, right))
+    _, code = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    l_code, r_code = code[: l_size.sum()], code[l_size.sum() :]
+    order = np.argsort(r_code, kind="stable")
+    r_row, r_code = np.repeat(np.arange(n), r_size)[order], r_code[order]
+    begin = np.searchsorted(r_code, l_code)
+    many = np.searchsorted(r_code, l_code, "right") - begin
+    l_end = np.cumsum(l_size)
+    met = np.r_[0, np.cumsum(many)]
+    met_end = met[l_end]  # meetings of all sets up to each
+    if met[-1] > 32 * len(left) * n or np.diff(met_end, prepend=0).max() > most:
+        for a in range(0, len(left), block):
+            for b in range(0, n, block):
+                some, others = left[a : a + block], right[b : b + block]
+                # an empty set last keeps the two sides apart where their numbers of sets agree
+                shared = shared_counts([*some, *others, np.zeros(0, np.int64)], len(some))[:, :-1]
+                i, j = np.nonzero(shared)
+                yield i + a, j + b, shared[i, j].astype(np.int64)
+        return
+    first = 0
+    while first < len(left):
+        before = met_end[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(met_end, before + most, "right")))
+        own = slice(int(l_end[first] - l_size[first]), int(l_end[last - 1]))
+        k = many[own]
+        place = np.repeat(begin[own] - (met[own] - before), k) + np.arange(met_end[last - 1] - before)
+        row = np.repeat(np.repeat(np.arange(first, last), l_size[first:last]), k)
+        pair, shared = np.unique(row * n + r_row[place], return_counts=True)
+        if len(pair):
+            yield pair // n, pair % n, shared
+        first = last
+
+
 class BestMatches:
     """The k rows with the highest products for each of some sparse queries, over all rows that are shown; ties go to the smaller key.
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.functions.blocks import groups_of, list_rows, shared_counts
+from lodestone.functions.blocks import groups_of, list_rows, shared_pairs
 from lodestone.functions.text import word_ngrams
 from lodestone.plans.durable import durable
 
@@ -28,33 +28,35 @@ def long_tail(nodes: DataFrame, tasks: DataFrame) -> DataFrame:
     return coverage(nodes, tasks).agg(F.coalesce(F.sum("n_atomic_unsampled") / F.nullif(F.sum("n_atomic"), F.lit(0)), F.lit(0.0)).alias("long_tail_ratio"))
 
 
-def jaccard_mean(tasks: DataFrame, n: int = 3, *, chunk: int = 2048) -> DataFrame:
+def jaccard_mean(tasks: DataFrame, n: int = 3, *, chunk: int = 8192) -> DataFrame:
     """The mean Jaccard similarity of the questions' n-grams over all pairs of tasks; no sample is taken.
 
-    Equal sets of n-grams are one row with a weight. The others are dealt into chunks; each pair of chunks is one task, which returns one
-    number, so nothing grows with a common n-gram. Work is the square of the distinct questions.
+    Equal sets of n-grams are one row with a weight. N-grams of one set alone are left out after sizes are known, and so are sets without
+    others, as they share nothing. What is left is dealt into chunks; each pair of chunks is one task, which returns one number. Work
+    follows the pairs of sets that share an n-gram; memory is that of a block, however common an n-gram is.
     """
     grams = tasks.select(F.array_sort(F.transform(word_ngrams(F.col("question"), n), lambda x: F.xxhash64(x))).alias("g"))
     sets = durable(grams.where(F.size("g") > 0).groupBy("g").agg(F.count("*").alias("w")).withColumn("k", F.monotonically_increasing_id()), "gram-sets")
-    chunks = max(1, -(-sets.count() // chunk))
-    rows = sets.withColumn("c", F.pmod(F.xxhash64("k"), F.lit(chunks))).select("g", "w", "c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("d"))
-    rows = rows.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), (F.col("c") > F.col("d")).cast("int").alias("side"), "g", "w")
+    flat = sets.select("k", "w", F.size("g").alias("n"), F.explode("g").alias("x"))
+    common = flat.groupBy("x").agg(F.count("*").alias("m")).where("m > 1").select("x")
+    linked = durable(flat.join(common, "x", "left_semi").groupBy("k", "w", "n").agg(F.collect_list("x").alias("g")), "gram-links")
+    chunks = max(1, -(-linked.count() // chunk))
+    rows = linked.withColumn("c", F.pmod(F.xxhash64("k"), F.lit(chunks))).select("g", "w", "n", "c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("d"))
+    rows = rows.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), (F.col("c") > F.col("d")).cast("int").alias("side"), "g", "w", "n")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = 0.0
         for own in groups_of(batches, ["a", "b"]):
-            found, w, side = list_rows(own.column("g")), own.column("w").to_numpy().astype(float), own.column("side").to_numpy()
+            found, side = list_rows(own.column("g")), own.column("side").to_numpy()
+            w, size = own.column("w").to_numpy().astype(float), own.column("n").to_numpy().astype(float)
             inside = own.column("a")[0].as_py() == own.column("b")[0].as_py()
             left = len(own) if inside else int((side == 0).sum())
             if not inside and left in (0, len(own)):
                 continue
-            size = np.fromiter(map(len, found), float, len(found))
             start = 0 if inside else left
-            shared = shared_counts(found, left).astype(float)
-            similar = shared / (size[:left, None] + size[start:] - shared)
-            if inside:
-                np.fill_diagonal(similar, 0)
-            total += w[:left] @ similar @ w[start:] / (2 if inside else 1)
+            for i, j, shared in shared_pairs(found[:left], found[start:]):
+                similar = w[i] * w[start + j] * shared / (size[i] + size[start + j] - shared)
+                total += float(similar[i != j].sum()) / 2 if inside else float(similar.sum())
         yield pa.RecordBatch.from_arrays([pa.array([total])], names=["s"])
 
     dealt = rows.repartition(chunks * (chunks + 1) // 2, "a", "b").sortWithinPartitions("a", "b", "side")

@@ -253,3 +253,27 @@ def test_fingerprints_make_objects_of_slices_only(spark):
     assert [r[0] for r in spark.createDataFrame([(t,) for t in texts * 3], "t string").coalesce(1).select(T.simhash64("t")).collect()] == want * 3
     assert T.slices_of(np.array([5, 0, 3, 9, 0, 20, 1]), 8) == [(0, 3), (3, 4), (4, 6), (6, 7)]
     assert T.slices_of(np.array([], int), 8) == []
+
+
+@pytest.mark.parametrize(("words", "most"), [(400, 2_000_000), (400, 50), (12, 2_000_000), (400, 3)])
+def test_pairs_that_share_elements(words, most):
+    from lodestone.functions.blocks import shared_pairs
+
+    rng = np.random.default_rng(5)
+    left, right = ([rng.permutation(words)[: rng.integers(0, 12)].astype(np.int64) for _ in range(k)] for k in (37, 37))
+    want = {(i, j): len({*x} & {*y}) for i, x in enumerate(left) for j, y in enumerate(right) if {*x} & {*y}}
+    parts = list(shared_pairs(left, right, most, 8))
+    got = [((i, j), n) for part in parts for i, j, n in zip(*(x.tolist() for x in part), strict=True)]
+    assert len(got) == len(want) and dict(got) == want and (most != 50 or len(parts) > 2)
+    assert list(shared_pairs([], right)) == [] == list(shared_pairs(left[:1], [np.zeros(0, np.int64)]))
+
+
+def test_mean_similarity_in_chunks(spark):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(["a", "b", "c", "d"], rng.integers(0, 9))) for _ in range(60)] + ["only once here"] * 2
+    sets = [(lambda w: {*w} if len(w) < 3 else {tuple(w[i : i + 3]) for i in range(len(w) - 2)})(t.split()) for t in texts]
+    pairs = [(x, y) for i, x in enumerate(sets) for y in sets[:i]]
+    want = sum(len(x & y) / max(1, len(x | y)) for x, y in pairs) / len(pairs)
+    frame = spark.createDataFrame([(t,) for t in texts], "question string")
+    for chunk in (8192, 9):
+        assert abs(report.jaccard_mean(frame, chunk=chunk).first()[0] - want) < 1e-6
